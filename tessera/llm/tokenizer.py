@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import spread
 
@@ -291,7 +292,7 @@ def vocabulary_path(directory: str | None = None, name: str = VOCABULARY) -> str
 def encode_corpus(docs: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
     """(id, ids array<int>) of each row; narrow, no shuffle besides spreading a single-file input."""
     path = path or vocabulary_path()
-    schema = docs.select(F.col(id_col)).schema.add("ids", "array<int>")
+    schema = docs.select(F.col(id_col)).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
@@ -307,7 +308,7 @@ def encode_corpus(docs: DataFrame, id_col: str, text_col: str, path: str | None
 def token_counts(docs: DataFrame, id_cols: list[str], text_col: str, path: str | None = None) -> DataFrame:
     """``id_cols`` and n_tokens (int, 0 for null and empty texts) by the same encoder."""
     path = path or vocabulary_path()
-    schema = docs.select(*id_cols).schema.add("n_tokens", "int")
+    schema = docs.select(*id_cols).schema.add("n_tokens", T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
