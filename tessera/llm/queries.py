@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import overlap, tokenizer
+from tessera.llm import overlap, splits, tokenizer, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,21 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.related_groups(_table(spark, d, "examples"), _table(spark, d, "commits"))
+
+
+@_query
+def p1_split(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split_rows(_table(spark, d, "examples"), _table(spark, d, "commits"))
+
+
+@_query
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split_report(_table(spark, d, "examples"), _table(spark, d, "commits"))
+
+
 @_query
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return overlap.cross_split_pairs(_table(spark, d, "examples"))
@@ -36,6 +51,16 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(_table(spark, d, "examples"))
 
 
+@_query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated_values(_table(spark, d, "code_chunks"))
+
+
+@_query
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncation_report(_table(spark, d, "code_chunks"))
+
+
 @_query
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(_table(spark, d, "documents"), "doc_id", "text")
