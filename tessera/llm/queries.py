@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import overlap, splits, tokenizer, truncation
+from tessera.llm import credentials, overlap, splits, tokenizer, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,16 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_report(_table(spark, d, "examples"), _table(spark, d, "commits"))
 
 
+@_query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.credential_lines(_table(spark, d, "file_diffs"), _table(spark, d, "code_chunks"))
+
+
+@_query
+def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.redacted(_table(spark, d, "file_diffs"), _table(spark, d, "code_chunks"))
+
+
 @_query
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return overlap.cross_split_pairs(_table(spark, d, "examples"))
