@@ -56,7 +56,7 @@ _PLACEHOLDER = re.compile(r"^(?:\$\{.*|\$\(.*|\$[A-Za-z_]\w*|\{\{.*|%[({].*|<.*>
 _SPLIT = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _OWNER = re.compile(r"(?i)pass|pwd|\bpw\b|secret|login|key\b|auth_?token|private_?token")
 #: Unquoted or quoted plain identifiers and types; checked after labelling.
-_NAME = re.compile(r"^[&*]?(?:(?:[A-Z][a-z]+){1,5}|[a-z]+(?:[_.:]+[a-z]+)*)$")
+_NAME = re.compile(r"^[&*]?(?:(?:[A-Z][a-z]+){1,5}|[a-z]+\d*(?:[_.:]+[a-z]+\d*)*)$")
 _UUID = re.compile(r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
 _HEX = re.compile(r"^[0-9a-fA-F]+$")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import credentials, overlap, splits, tokenizer, truncation
+from tessera.llm import credentials, names, overlap, splits, tokenizer, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,6 +71,16 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_report(_table(spark, d, "code_chunks"))
 
 
+@_query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.same_person_pairs(_table(spark, d, "authors"))
+
+
+@_query
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return names.person_report(_table(spark, d, "authors"))
+
+
 @_query
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(_table(spark, d, "documents"), "doc_id", "text")
