@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import credentials, names, overlap, splits, tokenizer, truncation
+from tessera.llm import credentials, names, overlap, spam_pages, splits, tokenizer, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +89,18 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def p8_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.token_counts(_table(spark, d, "documents"), ["doc_id"], "text")
+
+
+@_query
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam_pages.stuffed_pages(_table(spark, d, "documents"))
+
+
+@_query
+def p10_labels(spark: SparkSession, d: str) -> DataFrame:
+    return spam_pages.labelled_pages(_table(spark, d, "documents"))
+
+
+@_query
+def p10_report(spark: SparkSession, d: str) -> DataFrame:
+    return spam_pages.spam_report(_table(spark, d, "documents"))
