@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import credentials, names, overlap, spam_pages, splits, tokenizer, truncation
+from tessera.llm import credentials, mixing, names, overlap, packing, pieces, spam_pages, splits, tokenizer, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,16 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_report(_table(spark, d, "examples"), _table(spark, d, "commits"))
 
 
+@_query
+def p2_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(_table(spark, d, "packed_sequences"), _table(spark, d, "pack_budgets"))
+
+
+@_query
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packing_report(_table(spark, d, "packed_sequences"), _table(spark, d, "pack_budgets"))
+
+
 @_query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return credentials.credential_lines(_table(spark, d, "file_diffs"), _table(spark, d, "code_chunks"))
@@ -61,6 +71,11 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(_table(spark, d, "examples"))
 
 
+@_query
+def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.oversized_pieces(_table(spark, d, "code_chunks"), _table(spark, d, "examples"))
+
+
 @_query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncated_values(_table(spark, d, "code_chunks"))
@@ -91,6 +106,16 @@ def p8_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.token_counts(_table(spark, d, "documents"), ["doc_id"], "text")
 
 
+@_query
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(_table(spark, d, "documents"), _table(spark, d, "mix_targets"))
+
+
+@_query
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, d, "documents"), _table(spark, d, "mix_targets"))
+
+
 @_query
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_pages.stuffed_pages(_table(spark, d, "documents"))
