@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.tokens import occurrences
+from tessera.functions.tokens import WORD, occurrences
 
 # Patterns, keyword lists and weights of the measures, which must equal those in use elsewhere.
 FUNCTION_NAME = r"^\s*(?:pub\s+)?(?:async\s+)?fn\s+([a-z_][a-z0-9_]*)\s*[(<]"
@@ -25,7 +25,7 @@ OUTLINE_WEIGHTS = (("def ", 1), ("fn ", 1), ("class ", 1), ("struct ", 1), ("imp
 ERROR_MARKS = ("Result<", "Option<", "?")
 CONFIG_SUFFIXES = ("yaml", "yml", "toml", "json")
 OPERATOR = r"[+\-*/=<>!&|^~%]|->|=>|\.\."
-OPERAND = r"(?<![\p{L}\p{N}_])[a-zA-Z_][a-zA-Z0-9_]*(?![\p{L}\p{N}_])"
+IDENTIFIER = r"^[a-zA-Z_][a-zA-Z0-9_]*$"
 
 
 def lines_of(text: Column) -> Column:
@@ -35,7 +35,7 @@ def lines_of(text: Column) -> Column:
 def split_lines(text: Column) -> Column:
     """Lines without a last empty one, by every line separator."""
     unified = F.regexp_replace(text, "\\r\\n|[\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]", "\n")
-    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(unified, "\n$", ""), "\n"))
+    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(unified, "\n\\z", ""), "\n"))
 
 
 def diff_counts(diff: Column) -> tuple[Column, Column, Column]:
@@ -128,7 +128,8 @@ def cyclomatic(text: Column) -> Column:
 
 def halstead(text: Column) -> Column:
     """Volume over operators and identifiers, an integer of at most 1000."""
-    ops, names = F.regexp_count(text, F.lit(OPERATOR)), F.regexp_count(text, F.lit(OPERAND))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    ops, names = F.regexp_count(text, F.lit(OPERATOR)), F.size(F.filter(words, lambda w: w.rlike(IDENTIFIER)))
     bits = F.log2((F.greatest(ops, F.lit(1)) + F.greatest(names, F.lit(1))).cast("double"))
     return F.least(F.floor((ops + names) * bits), F.lit(1000).cast("bigint"))
 

@@ -25,13 +25,13 @@ def picked(df: DataFrame, column: str, fractions: dict[str, float], keys: list[s
     from pyspark.sql import Window as W
 
     keys = keys or []
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("c"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("v_")).agg(F.count("*").alias("c_"))
     w = W.partitionBy(*keys)
-    cumulated = counts.withColumn("upto", F.sum("c").over(w.orderBy(column))).withColumn("n", F.sum("c").over(w))
+    cumulated = counts.withColumn("upto_", F.sum("c_").over(w.orderBy("v_"))).withColumn("all_", F.sum("c_").over(w))
     aggs = []
     for name, f in fractions.items():
-        at = F.least(F.floor(F.col("n") * F.lit(f)), F.col("n") - 1)
-        aggs.append(F.min(F.when(F.col("upto") > at, F.col(column))).alias(name))
+        at = F.least(F.floor(F.col("all_") * F.lit(f)), F.col("all_") - 1)
+        aggs.append(F.min(F.when(F.col("upto_") > at, F.col("v_"))).alias(name))
     return cumulated.groupBy(*keys).agg(*aggs)
 
 
