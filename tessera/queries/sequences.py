@@ -17,7 +17,7 @@ def _sum(c):
 _H = "('0x' || substr(md5({}), 1, 8))::BIGINT"
 
 
-@query("win_w2_by_lang", """WITH d AS (SELECT lang, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE length(text) >= 100), c AS (SELECT lang, len(w) AS n, unnest(range(0, greatest(1, (len(w) - 128) // 32 + 1))) AS i FROM d WHERE len(w) >= 64)
+@query("win_w2_by_lang", """WITH d AS (SELECT lang, regexp_extract_all(lower(replace(text, chr(304), 'i' || chr(775))), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE length(text) >= 100), c AS (SELECT lang, len(w) AS n, unnest(range(0, greatest(1, (len(w) - 128) // 32 + 1))) AS i FROM d WHERE len(w) >= 64)
     SELECT lang, count(*) AS windows, sum(least(128, n - i * 32))::BIGINT AS tokens FROM c GROUP BY 1""")
 def _(s, d):
     docs = table(s, d, "documents").where(F.length("text") >= 100).select("lang", T.words(F.col("text")).alias("w")).where("size(w) >= 64")
@@ -139,7 +139,7 @@ def _(s, d):
     return dedup.dedup_prefix(p, "tokens", ["pack_id"]).select("pack_id")
 
 
-_SIG = """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL), g AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 3, 1))) AS i, w FROM w WHERE len(w) >= 5), n AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g, i FROM g),
+_SIG = """WITH w AS (SELECT doc_id, regexp_extract_all(lower(replace(text, chr(304), 'i' || chr(775))), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL), g AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 3, 1))) AS i, w FROM w WHERE len(w) >= 5), n AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g, i FROM g),
     c AS (SELECT doc_id, g, count(*) AS c, min(i) AS f FROM n GROUP BY 1, 2), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, f) <= 100), m AS (SELECT doc_id, md5(string_agg(g, '' ORDER BY encode(g))) AS signature FROM t GROUP BY 1), s AS (SELECT d.doc_id, coalesce(signature, md5('')) AS signature FROM documents d LEFT JOIN m USING (doc_id) WHERE text IS NOT NULL)"""
 
 
@@ -266,11 +266,11 @@ def _(s, d):
 
 
 @query("sig_wf6_wf8_wf9", f"""WITH e AS ({_EV}) SELECT event_id, coalesce(avg(train) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) > 50, false) AS extend_context,
-    coalesce(train > 3 * avg(train) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING), false) AS spike, round(var_pop(train) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 1) AS variance FROM e""")
+    coalesce(train > 3 * avg(train) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING), false) AS spike, round(sqrt(var_pop(train) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)), 4) AS deviation FROM e""")
 def _(s, d):
     e = signals.extend_context(_series(s, d), ["user_id"], ["ts", "event_id"], "train", 50)
     e = signals.spikes(e, ["user_id"], ["ts", "event_id"], "train")
-    return signals.rolling_variance(e, ["user_id"], ["ts", "event_id"], "train").select("event_id", "extend_context", "spike", F.round("variance", 1).alias("variance"))
+    return signals.rolling_variance(e, ["user_id"], ["ts", "event_id"], "train").select("event_id", "extend_context", "spike", F.round(F.sqrt("variance"), 4).alias("deviation"))
 
 
 @query("sig_wf10_wf11_wf13")

@@ -59,3 +59,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Repartition an input that has fewer splits than there are cores, so Python stages use the whole cluster."""
     want = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder, for stages handed over as files."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{base}/{name}-{uuid.uuid4().hex}"
