@@ -92,7 +92,7 @@ def _(s, d):
     return table(s, d, "packed_sequences").agg(F.least((F.ceil(F.max(F.size("tokens")) / 64) * 64), F.lit(8192)).cast("bigint").alias("max_length"))
 
 
-@query("win_w14_incremental", """WITH c AS (SELECT example_id - 1 AS pos, (example_id - 1) // 10 AS idx, commit_hash FROM examples), f AS (SELECT min(pos) AS p FROM c WHERE idx > 60) SELECT pos, idx FROM c, f WHERE pos >= greatest(0, p - 8)""")
+@query("win_w14_incremental", """WITH c AS (SELECT example_id - 1 AS pos, (example_id - 1) // 10 AS idx, commit_hash FROM examples), f AS (SELECT min(pos) AS p FROM c WHERE idx > 60) SELECT pos, idx FROM c, f WHERE coalesce(p, 610) <= (SELECT max(pos) FROM c) AND pos >= greatest(0, coalesce(p, 610) - 8)""")
 def _(s, d):
     e = table(s, d, "examples").select((F.col("example_id") - 1).alias("pos"), F.floor((F.col("example_id") - 1) / 10).alias("idx"), "commit_hash")
     return signals.incremental_slice(e, "pos", "idx", "commit_hash", 60, None, 609, 8).select("pos", "idx")
