@@ -527,6 +527,7 @@ def candidate_lines(text: str) -> list[int]:
     return sorted(starts)
 
 
+_FIVE = re.compile(r"-----BEGIN ")  # five dashes are those of a key, six are a removed key
 _CONTINUES = re.compile(r"(?:\\|\+|concat!\([^)]*,)\s*$")
 
 
@@ -542,7 +543,7 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
         counted = start
         end = text.find("\n", start)
         end = len(text) if end < 0 else end
-        skip = 1 if patch and text[start : start + 1] in ("+", "-", " ") else 0
+        skip = 1 if patch and text[start : start + 1] in ("+", "-", " ") and not _FIVE.match(text, start) else 0
         line = text[start + skip : end].rstrip("\r")
         if patch and line.startswith(("++ ", "-- ")) and skip:
             continue
@@ -575,25 +576,28 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
             found.append((0 if continued else line_no, at, upto))
             began = True
             last = i
-            if t.kind == "pem" and "-----END" not in t.text:
-                stop = text.find("-----END", upto)
-                if 0 <= stop:
-                    for a, b in _body(text, end + 1, text.rfind("\n", 0, stop) + 1, patch):
-                        found.append((0, a, b))
-                    done = stop
+            if t.kind == "pem" and "-----END" not in t.text and upto >= len(text[at:end].rstrip("\r")) + at:
+                for a, b in _body(text, end + 1, patch):
+                    found.append((0, a, b))
+                    done = b
         done = max(done, more - 1 if more > end else done)
     return found
 
 
-def _body(text: str, lo: int, hi: int, patch: bool) -> Iterator[tuple[int, int]]:
-    """Stretches of the lines of a key's body."""
-    while lo < hi:
-        end = text.find("\n", lo, hi)
-        end = hi if end < 0 else end
+_BODY = re.compile(r"^(?:[A-Za-z0-9+/]{1,76}={0,2}|[A-Za-z-]+: [^\n]*|)$")
+
+
+def _body(text: str, lo: int, patch: bool) -> Iterator[tuple[int, int]]:
+    """Stretches of the lines of a key's body: encoded lines up to the first line of another kind."""
+    while lo < len(text):
+        end = text.find("\n", lo)
+        end = len(text) if end < 0 else end
         a = lo + (1 if patch and text[lo : lo + 1] in ("+", "-", " ") else 0)
-        b = len(text[a:end].rstrip("\r")) + a
-        if b > a:
-            yield a, b
+        line = text[a:end].rstrip("\r")
+        if not _BODY.match(line):
+            return
+        if line:
+            yield a, a + len(line)
         lo = end + 1
 
 
