@@ -27,8 +27,13 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut, spread
 
-#: Largest edit distance of a typed part from the attested one, by its length.
-BOUND_SHORT, BOUND_LONG, LONG = 1, 2, 6
+#: Largest edit distance of a typed part from the attested one; two exchanged neighbours count as one edit.
+MOST_EDITS = 1
+#: The automaton allows one edit more in parts of this length or longer, in which an exchange is two edits.
+LONG = 4
+#: Local parts of mailboxes that are nobody's own (fixed values), and names from which on a mailbox counts as shared.
+ROLES = "noreply no-reply build builds ci dev developer root admin administrator team info support bot git github gitlab jenkins mail contact hello office test merge-queue postmaster webmaster nobody user me".split()
+SHARED_NAMES = 4
 #: Names in one trie; a bucket with more is divided into several.
 TRIE_NAMES = 50_000
 #: Rows that must agree on a nickname before it is believed.
@@ -137,7 +142,7 @@ def swapped(a: str, b: str) -> bool:
 
 
 def _bound(word: str) -> int:
-    return BOUND_LONG if len(word) >= LONG else BOUND_SHORT
+    return MOST_EDITS + (len(word) >= LONG)
 
 
 def _parsed(authors: DataFrame) -> DataFrame:
@@ -145,10 +150,12 @@ def _parsed(authors: DataFrame) -> DataFrame:
         for b in batches:
             d = [display_parts(x) for x in b["author_name"]]
             e = [address_parts(x) for x in b["author_email"]]
-            yield pd.DataFrame({"author_id": b["author_id"], "shown": d, "kind": [x[0] for x in e], "parts": [x[1] for x in e]})
+            box = [fold(x).strip() if isinstance(x, str) and k[0] == "handle" else None for x, k in zip(b["author_email"], e)]
+            role = [bool(m) and m.split("@")[0].split("+")[0] in ROLES for m in box]
+            yield pd.DataFrame({"author_id": b["author_id"], "shown": d, "kind": [x[0] for x in e], "parts": [x[1] for x in e], "box": box, "role": role})
 
     rows = authors.where("author_id is not null").select("author_id", "author_name", "author_email").distinct()
-    return spread(rows).mapInPandas(run, "author_id bigint, shown array<string>, kind string, parts array<string>")
+    return spread(rows).mapInPandas(run, "author_id bigint, shown array<string>, kind string, parts array<string>, box string, role boolean")
 
 
 def _key(a, b):
@@ -212,7 +219,8 @@ def _trie_join(wanted: DataFrame, names: DataFrame) -> DataFrame:
                     trie = Trie(list(entries))
                 for got, d in trie.near(other, _bound(other)):
                     d = 1 if d == 2 and swapped(got, other) else d
-                    out += [(word, n, d) for n in entries[got]]
+                    if d <= MOST_EDITS:
+                        out += [(word, n, d) for n in entries[got]]
             yield pd.DataFrame(out, columns=["word", "name", "d"])
 
     found = both.mapInPandas(run, "word string, name string, d int")
@@ -248,10 +256,13 @@ def resolved(authors: DataFrame) -> DataFrame:
     for side in (mail, shown, by_alias, single, by_initial, plain):
         all_ = all_.join(side, "author_id", "left")
     # a handle's owner must not contradict a full display name
-    agree = F.col("plain").isNull() | F.exists(F.split("plain", " "), lambda p: F.exists(F.split("alias_name", " "), lambda q: F.levenshtein(p, q) <= F.when(F.length(q) >= LONG, 2).otherwise(0)))
+    agree = F.col("plain").isNull() | F.exists(F.split("plain", " "), lambda p: F.exists(F.split("alias_name", " "), lambda q: F.levenshtein(p, q) <= F.when(F.length(q) >= 6, 2).otherwise(0)))
     sure = F.coalesce(F.when(F.col("shown_name").isNotNull() & (F.col("shown_name") != F.col("mail_name")), F.col("shown_name")), "mail_name", "shown_name", F.when(agree, F.col("alias_name")), "initial_name", F.when(F.col("plain").isNull(), F.col("single_name")))
     all_ = cut(all_.withColumn("sure", sure).select("author_id", "sure", "plain"))
-    open_ = all_.where("sure is null and plain is not null").select("author_id")
+    # a name typed at a mailbox that is nobody's own is taken as it is
+    boxes = rows.where("box is not null").groupBy("box").agg(F.count_distinct(F.array_join("shown", " ")).alias("n"), F.max("role").alias("r")).where((F.col("n") >= SHARED_NAMES) | F.col("r")).select("box")
+    shared = rows.join(boxes, "box", "left_semi").select("author_id")
+    open_ = all_.where("sure is null and plain is not null").select("author_id").join(shared, "author_id", "left_anti")
     wanted = variants.join(open_, "author_id", "left_semi").where("length(x) > 1 and length(y) > 1")
     near = _trie_join(wanted.select("word", "x", "y").distinct(), names)
     fuzzy = wanted.join(near, "word").groupBy("author_id").agg(F.min("name").alias("fuzzy"), F.max("name").alias("o")).where("fuzzy = o").select("author_id", "fuzzy")
