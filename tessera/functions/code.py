@@ -82,18 +82,16 @@ def import_prefixes(code: Column) -> Column:
     return F.transform(hits, lambda x: F.split_part(F.trim(F.regexp_replace(x, r"^.*?use ", "")), F.lit("::"), F.lit(1)))
 
 
-def change_type(code: Column, added: Column, removed: Column) -> Column:
+def change_type(code: Column, added: Column, removed: Column, test: Column | None = None) -> Column:
     """Kind of a change: the first added line that is a function or struct head, or any added line of test code, decides;
-    then balanced or unbalanced edits, then words of fixes and of optimisations."""
-    test = code.rlike(TEST_CODE)
+    then balanced or unbalanced edits, then words of fixes and of optimisations.  ``test``: whether the code is test code,
+    given as a column so that it is not matched anew for every line."""
+    test = code.rlike(TEST_CODE) if test is None else test
     kinds = F.transform(added, lambda x: F.when(x.rlike(FUNCTION_NAME), "new_function").when(x.rlike(STRUCT_NAME), "new_struct").when(test, "new_test"))
     low = F.lower(code)
 
     def has(words: tuple[str, ...]) -> Column:
-        out = F.lit(False)
-        for w in words:
-            out = out | F.contains(low, F.lit(w))
-        return out
+        return low.rlike("|".join(words))
 
     both = (F.size(added) > 0) & (F.size(removed) > 0)
     rest = (

@@ -159,7 +159,9 @@ def _(s, d):
     WHEN regexp_matches(lower(code), '{"|".join(C.FIX_WORDS)}') THEN 'bug_fix' WHEN regexp_matches(lower(code), '{"|".join(C.SPEED_WORDS)}') THEN 'optimization' ELSE 'unknown' END AS change_type FROM c""")
 def _(s, d):
     n, p = F.coalesce("new_code", F.lit("")), F.coalesce("patch", F.lit(""))
-    return table(s, d, "code_chunks").select("chunk_id", C.change_type(n, C.added_lines(p), C.removed_lines(p)).alias("change_type"))
+    # the line arrays are columns of their own, so that each is made once a row
+    lines = table(s, d, "code_chunks").select("chunk_id", n.alias("code"), C.added_lines(p).alias("added"), C.removed_lines(p).alias("removed"), n.rlike(C.TEST_CODE).alias("test"))
+    return lines.select("chunk_id", C.change_type(F.col("code"), F.col("added"), F.col("removed"), F.col("test")).alias("change_type"))
 
 
 @query("col_p22_config_change", """SELECT CASE WHEN file_type IN ('yaml', 'yml', 'toml', 'json') THEN 'configuration' ELSE change_type END AS kind, count(*) AS n FROM code_chunks GROUP BY ALL""")

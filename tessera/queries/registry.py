@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -26,8 +28,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+#: Tables of long texts and arrays, whose rows cost enough to be spread over all cores when their files have fewer splits.
+_LONG = frozenset({"documents", "code_chunks", "file_diffs", "examples", "packed_sequences"})
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    df = spark.read.parquet(f"{directory}/{name}.parquet")
+    return spread(df) if name in _LONG else df
 
 
 def _load() -> None:
