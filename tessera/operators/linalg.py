@@ -121,3 +121,37 @@ def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: in
 
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("similarity"), key))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+# Gradients in closed form: what each input of an operation receives from the gradient of its result.
+
+
+def grad_add(g: Column) -> tuple[Column, Column]:
+    return g, g
+
+
+def grad_mul(g: Column, a: Column, b: Column) -> tuple[Column, Column]:
+    return mul(g, b), mul(g, a)
+
+
+def grad_div(g: Column, a: Column, b: Column, safe: bool = False) -> tuple[Column, Column]:
+    """Of a / b: g / b and -g a / b^2."""
+    return div(g, b, safe), F.transform(div(mul(g, a), mul(b, b), safe), lambda x: -x)
+
+
+def grad_sum(g: Column, n: int | Column) -> Column:
+    """Every item of a sum receives the gradient of the sum."""
+    return F.array_repeat(g, n)
+
+
+def grad_mean(g: Column, n: int | Column) -> Column:
+    return F.array_repeat(g / n, n)
+
+
+def grad_matmul(g: DataFrame, a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a product of matrices: g b' and a' g."""
+    return matmul(g, transpose(b)), matmul(transpose(a), g)
+
+
+def grad_transpose(g: DataFrame) -> DataFrame:
+    return transpose(g)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import gate
@@ -155,3 +155,63 @@ def reformatted(text: Column, seed: int, *key: str) -> Column:
     """Compact or verbose form, by hash."""
     verbose = F.replace(F.replace(text, F.lit("} else {"), F.lit("}\nelse {")), F.lit("; "), F.lit(";\n"))
     return F.when(gate(0.5, seed, *key), F.regexp_replace(text, r"\n\s*\n", "\n")).otherwise(verbose)
+
+
+# Marks of files by suffix in texts that stress changes.
+FILE_MARKS = ((".rs", "<RS_FILE>"), (".toml", "<TOML_FILE>"), (".proto", "<PROTO_FILE>"))
+
+
+def commit_styles(commits: DataFrame, diffs: DataFrame) -> DataFrame:
+    """(hash, flat, semantic, hierarchical, diff_aware): four one-line texts of every commit.
+
+    Files are taken from the diffs in order of their names; predecessors are those of the two commits before that
+    share the first branch.
+    """
+    from tessera.operators.history import neighbours
+
+    none = F.lit(None).cast("string")
+    empty = F.array().cast("array<string>")
+
+    def kind(k: str) -> Column:
+        return F.array_sort(F.collect_set(F.when(F.col("change_type") == k, F.col("filename"))))
+
+    stat = F.struct("filename", F.coalesce("additions", F.lit(0)).alias("a"), F.coalesce("deletions", F.lit(0)).alias("d"))
+    files = diffs.where("filename is not null").groupBy(F.col("commit_hash").alias("hash")).agg(kind("A").alias("added"), kind("M").alias("modified"), kind("D").alias("deleted"), F.slice(F.array_sort(F.collect_set(stat)), 1, 10).alias("stats"))
+    branch = F.coalesce(F.get("branches", F.lit(0)), F.lit(""))
+    c = commits.withColumn("branch", branch)
+    before = neighbours(c.select("hash", "commit_timestamp"), 2, 0).select("hash", F.posexplode("previous").alias("pos", "p"))
+    mine = c.select("hash", "branch")
+    same = before.join(mine, "hash").join(mine.select(F.col("hash").alias("p"), F.col("branch").alias("pb")), "p").where("pb = branch")
+    chains = same.groupBy("hash").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.substring("p", 1, 8).alias("s")))), lambda x: x["s"]), "|").alias("chain"))
+    c = c.join(files, "hash", "left").join(chains, "hash", "left").withColumns({k: F.coalesce(k, empty) for k in ("added", "modified", "deleted")})
+    short, author, subject = F.substring("hash", 1, 8), F.coalesce("author_name", F.lit("")), F.coalesce("subject", F.lit(""))
+    ins, dele = F.coalesce("insertions", F.lit(0)).cast("string"), F.coalesce("deletions", F.lit(0)).cast("string")
+    merge = F.coalesce("is_merge", F.lit(False))
+    sums = F.concat(F.lit("<INSERTIONS> "), ins, F.lit(" <DELETIONS> "), dele)
+
+    def counted(mark: str, col: str) -> Column:
+        return F.when(F.size(col) > 0, F.concat(F.lit(mark + " "), F.size(col).cast("string"))).otherwise(none)
+
+    def base(p: Column) -> Column:
+        return F.element_at(F.split(p, "/"), -1)
+
+    def mark(p: Column) -> Column:
+        out = F.when(F.endswith(p, F.lit(FILE_MARKS[0][0])), FILE_MARKS[0][1])
+        for suffix, name in FILE_MARKS[1:]:
+            out = out.when(F.endswith(p, F.lit(suffix)), name)
+        return out.otherwise("<FILE>")
+
+    every = F.concat("added", "modified", "deleted")
+    flat = F.concat_ws(" ", F.lit("<COMMIT>"), F.when(merge, F.lit("<MERGE>")), short, F.lit("<AUTHOR>"), author, F.lit("<MESSAGE>"), subject, sums)
+    semantic = F.concat_ws(
+        " ", F.lit("<COMMIT>"), short, F.lit("<AUTHOR>"), F.replace(author, F.lit(" "), F.lit("_")), F.coalesce("author_email", F.lit("")), F.lit("<BRANCH>"), F.replace(F.col("branch"), F.lit("/"), F.lit("_")), F.lit("<MESSAGE>"), F.substring(subject, 1, 100),
+        counted("<FILE_ADD>", "added"), counted("<FILE_MOD>", "modified"), counted("<FILE_DEL>", "deleted"), sums,
+        F.when(F.size("modified") > 0, F.concat(F.lit("FILES "), F.array_join(F.slice("modified", 1, 5), ";"))), F.when(F.size("parents") > 0, F.concat(F.lit("<PARENT> "), F.substring(F.get("parents", F.lit(0)), 1, 8))),
+    )
+    hierarchical = F.concat_ws(
+        " ", F.when(F.col("chain").isNotNull(), F.concat(F.lit("<PRED> "), F.col("chain"))), F.lit("<COMMIT>"), short, F.lit("<BRANCH>"), F.col("branch"), F.when(merge, F.concat(F.lit("<MERGE> "), F.array_join(F.transform("parents", lambda p: F.substring(p, 1, 8)), "|"))),
+        F.lit("<AUTHOR>"), author, F.lit("<MESSAGE>"), F.substring(subject, 1, 80), F.when(F.size(every) > 0, F.concat(F.lit("FILES "), F.array_join(F.transform(F.slice(every, 1, 10), base), "|"))),
+    )
+    changed = F.transform(F.coalesce("stats", F.slice(F.array(F.struct(F.lit("").alias("filename"), F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("d"))), 1, 0)), lambda x: F.concat_ws(" ", mark(x["filename"]), base(x["filename"]), F.lit("<INSERTIONS>"), x["a"].cast("string"), F.lit("<DELETIONS>"), x["d"].cast("string")))
+    diff_aware = F.concat_ws(" ", F.lit("<COMMIT>"), short, F.lit("<AUTHOR>"), author, changed, F.lit("<MESSAGE>"), subject)
+    return c.select("hash", flat.alias("flat"), semantic.alias("semantic"), hierarchical.alias("hierarchical"), diff_aware.alias("diff_aware"))

@@ -419,3 +419,37 @@ def _(s, d):
     near = linalg.nearest(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", 1)
     n = e.agg(F.count("*").alias("n"))
     return near.crossJoin(n).select("query", F.round("similarity", 4).alias("best"), (F.col("n") - 1).alias("compared"))
+
+
+_C = "(SELECT * FROM commits QUALIFY row_number() OVER (PARTITION BY hash ORDER BY scraped_at DESC) = 1)"
+
+
+@query("txt_g17_styles", f"""WITH c AS (SELECT *, coalesce(branches[1], '') AS branch FROM {_C}), f AS (SELECT commit_hash AS hash, list_sort(list(DISTINCT filename) FILTER (change_type = 'A')) AS a, list_sort(list(DISTINCT filename) FILTER (change_type = 'M')) AS m, list_sort(list(DISTINCT filename) FILTER (change_type = 'D')) AS x FROM file_diffs WHERE filename IS NOT NULL GROUP BY 1),
+    w AS (SELECT hash, branch, lag(hash, 1) OVER o AS h1, lag(branch, 1) OVER o AS b1, lag(hash, 2) OVER o AS h2, lag(branch, 2) OVER o AS b2 FROM c WINDOW o AS (ORDER BY commit_timestamp, hash)), p AS (SELECT hash, concat_ws('|', CASE WHEN b2 = branch THEN left(h2, 8) END, CASE WHEN b1 = branch THEN left(h1, 8) END) AS chain FROM w)
+    SELECT c.hash, concat_ws(' ', '<COMMIT>', CASE WHEN is_merge THEN '<MERGE>' END, left(c.hash, 8), '<AUTHOR>', coalesce(author_name, ''), '<MESSAGE>', coalesce(subject, ''), '<INSERTIONS> ' || coalesce(insertions, 0) || ' <DELETIONS> ' || coalesce(deletions, 0)) AS flat,
+    concat_ws(' ', '<COMMIT>', left(c.hash, 8), '<AUTHOR>', replace(coalesce(author_name, ''), ' ', '_'), coalesce(author_email, ''), '<BRANCH>', replace(branch, '/', '_'), '<MESSAGE>', left(coalesce(subject, ''), 100), CASE WHEN len(a) > 0 THEN '<FILE_ADD> ' || len(a) END, CASE WHEN len(m) > 0 THEN '<FILE_MOD> ' || len(m) END, CASE WHEN len(x) > 0 THEN '<FILE_DEL> ' || len(x) END,
+    '<INSERTIONS> ' || coalesce(insertions, 0) || ' <DELETIONS> ' || coalesce(deletions, 0), CASE WHEN len(m) > 0 THEN 'FILES ' || array_to_string(m[:5], ';') END, CASE WHEN len(parents) > 0 THEN '<PARENT> ' || left(parents[1], 8) END) AS semantic,
+    concat_ws(' ', CASE WHEN chain <> '' THEN '<PRED> ' || chain END, '<COMMIT>', left(c.hash, 8), '<BRANCH>', branch, CASE WHEN is_merge THEN '<MERGE> ' || array_to_string(list_transform(parents, lambda q: left(q, 8)), '|') END, '<AUTHOR>', coalesce(author_name, ''), '<MESSAGE>', left(coalesce(subject, ''), 80),
+    CASE WHEN coalesce(len(a), 0) + coalesce(len(m), 0) + coalesce(len(x), 0) > 0 THEN 'FILES ' || array_to_string(list_transform(list_concat(coalesce(a, []), coalesce(m, []), coalesce(x, []))[:10], lambda q: string_split(q, '/')[-1]), '|') END) AS hierarchical
+    FROM c LEFT JOIN f USING (hash) LEFT JOIN p USING (hash)""")
+def _(s, d):
+    from tessera.operators import history
+
+    c = history.latest(table(s, d, "commits"), ["hash"])
+    return serialise.commit_styles(c, table(s, d, "file_diffs")).select("hash", "flat", "semantic", "hierarchical")
+
+
+@query("txt_g17_diff_aware")
+def _(s, d):
+    from tessera.operators import history
+
+    return serialise.commit_styles(history.latest(table(s, d, "commits"), ["hash"]), table(s, d, "file_diffs")).select("hash", "diff_aware")
+
+
+@query("lin_n8_gradients", "SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * 2.0)), 4) AS of_mul, round(list_sum(list_transform(embedding, lambda x: -x::DOUBLE / 4.0)), 5) AS of_div, round(1.0 / 64, 6)::DOUBLE AS of_mean FROM embeddings")
+def _(s, d):
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    two, one = linalg.filled(2.0, 1), linalg.filled(1.0, F.size("embedding"))
+    ga, _ = linalg.grad_mul(e, e, two)
+    _, gb = linalg.grad_div(one, e, linalg.filled(2.0, F.size("embedding")))
+    return table(s, d, "embeddings").select("vec_id", F.round(linalg.total(ga), 4).alias("of_mul"), F.round(linalg.total(gb), 5).alias("of_div"), F.round(F.get(linalg.grad_mean(F.lit(1.0), F.size("embedding")), F.lit(0)), 6).alias("of_mean"))
