@@ -158,7 +158,7 @@ def storage_limits(found: DataFrame) -> DataFrame:
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("origin", "field", "place")]
     piles = (
         seen.alias("s")
-        .join(F.broadcast(total).alias("t"), same[0] & same[1] & same[2])
+        .join(total.alias("t"), same[0] & same[1] & same[2])
         .select("s.*", "t.total")
         .where((F.col("n") >= PILE) & (F.col("n") >= PEAK * (F.col("before") / F.lit(197.0) + 0.2)) & (F.coalesce("above", F.lit(0)) <= ABOVE * F.col("n")))
     )
@@ -170,7 +170,7 @@ def verdicts(chunks: DataFrame) -> DataFrame:
     """(chunk_id, origin, field, truncated, at_limit, ending, encoding, limit) of every value with text."""
     found = cut(facts(chunks))
     limits = storage_limits(found)
-    joined = found.alias("f").join(F.broadcast(limits).alias("l"), F.col("f.origin").eqNullSafe(F.col("l.origin")) & (F.col("f.field") == F.col("l.field")), "left").select("f.*", "l.encoding", "l.place", "l.limit")
+    joined = found.alias("f").join(limits.alias("l"), F.col("f.origin").eqNullSafe(F.col("l.origin")) & (F.col("f.field") == F.col("l.field")), "left").select("f.*", "l.encoding", "l.place", "l.limit")
     over: Column = F.get("lengths", F.col("place")) - F.col("limit")
     bytewise = F.col("encoding").endswith("utf8")
     at = F.coalesce(F.when(bytewise, over.between(-SLACK_BELOW, SLACK_ABOVE)).otherwise(over == 0), F.lit(False))
@@ -180,7 +180,7 @@ def verdicts(chunks: DataFrame) -> DataFrame:
     by = rows.groupBy("origin").agg(F.count_if(F.col("field") == "patch").alias("patches"), F.count_if(plain).alias("short_n"), F.count_if(F.col("cut") & ~F.col("at_limit")).alias("cuts"))
     wrong = by.where("cuts = 0").agg((F.sum("short_n") / F.sum("patches")).alias("usual"))
     trusted = by.crossJoin(F.broadcast(wrong)).where((F.col("cuts") > 0) & F.col("usual").isNotNull() & (F.col("short_n") > 2 * F.col("usual") * F.col("patches"))).select(F.col("origin").alias("o"), F.lit(True).alias("trust"))
-    rows = rows.join(F.broadcast(trusted), F.col("origin").eqNullSafe(F.col("o")), "left")
+    rows = rows.join(trusted, F.col("origin").eqNullSafe(F.col("o")), "left")
     lost = F.col("cut") | (F.col("at_limit") & ~F.col("whole")) | (F.col("short") & F.coalesce("trust", F.lit(False)))
     return rows.select("chunk_id", "origin", "field", lost.alias("truncated"), "at_limit", "ending", "encoding", "limit")
 
