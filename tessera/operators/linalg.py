@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,27 +102,50 @@ def dequantise(groups: Column) -> Column:
 
 
 def attention(q: DataFrame, k: DataFrame, v: DataFrame, scale: float, causal: bool = True) -> DataFrame:
-    """(i, vector): softmax of scaled, causally masked scores times the values; rows are (i, vector) of bounded length.
+    """(seq, i, vector): softmax of scaled, causally masked scores times the values, within each sequence.
 
-    For a batch of one sequence: the join is on position ranges of that sequence only.
+    Rows are (seq, i, vector); sequences are of bounded length, and the join is on the sequence.
     """
-    s = q.select(F.col("i"), F.col("vector").alias("q")).join(k.select(F.col("i").alias("j"), F.col("vector").alias("k")), F.col("j") <= F.col("i") if causal else F.lit(True))
-    s = s.select("i", "j", (dot(F.col("q"), F.col("k")) * scale).alias("s"))
-    top = s.groupBy("i").agg(F.max("s").alias("m"))
-    e = s.join(top, "i").select("i", "j", F.exp(F.col("s") - F.col("m")).alias("e"))
-    parts = e.join(v.select(F.col("i").alias("j"), F.posexplode("vector").alias("p", "x")), "j")
-    cells = parts.groupBy("i", "p").agg((F.sum(F.col("e") * F.col("x")) / F.sum("e")).alias("x"))
-    return cells.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "x"))), lambda z: z["x"]).alias("vector"))
+    a, b = q.select("seq", "i", F.col("vector").alias("q")), k.select("seq", F.col("i").alias("j"), F.col("vector").alias("k"))
+    s = a.join(b, "seq").where(F.col("j") <= F.col("i") if causal else F.lit(True)).select("seq", "i", "j", (dot(F.col("q"), F.col("k")) * scale).alias("s"))
+    top = s.groupBy("seq", "i").agg(F.max("s").alias("m"))
+    e = s.join(top, ["seq", "i"]).select("seq", "i", "j", F.exp(F.col("s") - F.col("m")).alias("e"))
+    parts = e.join(v.select("seq", F.col("i").alias("j"), F.posexplode("vector").alias("p", "x")), ["seq", "j"])
+    cells = parts.groupBy("seq", "i", "p").agg((F.sum(F.col("e") * F.col("x")) / F.sum("e")).alias("x"))
+    return cells.groupBy("seq", "i").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "x"))), lambda z: z["x"]).alias("vector"))
+
+
+#: Rows of a block of the exhaustive search, of vectors and of queries.
+VECTOR_BLOCK, QUERY_BLOCK = 20_000, 2_000
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """(query, key, similarity): the k most similar vectors of each query by cosine, brute force; queries must be a checked small set."""
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("qv"))
-    scored = vectors.select(key, vector).join(F.broadcast(q)).where(F.col(key) != F.col("query")).select("query", key, cosine(F.col("qv"), F.col(vector)).alias("similarity"))
-    from pyspark.sql import Window as W
+    """(query, key, similarity, rank): the k most similar other vectors of each query by cosine, by exhaustive search in blocks.
 
-    rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("similarity"), key))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    A task compares one block of queries with one block of vectors and keeps k of each query; the best of
+    these are chosen by a second aggregation.  Null vectors are in no result.
+    """
+    q, v = queries.where(F.col(vector).isNotNull()), vectors.where(F.col(vector).isNotNull())
+    nq, nv = -(-max(1, q.count()) // QUERY_BLOCK), -(-max(1, v.count()) // VECTOR_BLOCK)
+
+    def blocks(df: DataFrame, mine: str, n: int, other: str, m: int) -> DataFrame:
+        return df.select(key, vector, F.pmod(F.xxhash64(key), F.lit(n)).alias(mine), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(m - 1).cast("bigint"))).alias(other))
+
+    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"query": [], key: [], "similarity": []})
+        x, y = (np.stack(d[vector].to_numpy()).astype(float) for d in (a, b))
+        x, y = (np.divide(m, n, out=np.zeros_like(m), where=n > 0) for m, n in ((m, np.linalg.norm(m, axis=1, keepdims=True)) for m in (x, y)))
+        s = x @ y.T
+        s[a[key].to_numpy()[:, None] == b[key].to_numpy()[None, :]] = -np.inf
+        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+        out = pd.DataFrame({"query": np.repeat(a[key].to_numpy(), top.shape[1]), key: b[key].to_numpy()[top.ravel()], "similarity": np.take_along_axis(s, top, 1).ravel()})
+        return out[np.isfinite(out["similarity"])]
+
+    kind = dict(vectors.dtypes)[key]
+    pairs = blocks(q, "qb", nq, "vb", nv).groupBy("qb", "vb").cogroup(blocks(v, "vb", nv, "qb", nq).groupBy("qb", "vb")).applyInPandas(best, f"query {kind}, {key} {kind}, similarity double")
+    listed = pairs.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), key))), 1, k).alias("l"))
+    return listed.select("query", F.posexplode("l").alias("pos", "x")).select("query", F.col(f"x.{key}").alias(key), (-F.col("x.s")).alias("similarity"), (F.col("pos") + 1).alias("rank"))
 
 
 # Gradients in closed form: what each input of an operation receives from the gradient of its result.

@@ -61,10 +61,13 @@ def _(s, d):
     return read.select("doc_id", F.length(F.replace("value", F.lit("\n<<<end>>>\n"), F.lit(""))).cast("bigint").alias("n"))
 
 
-@query("src_s18_s27_w6_chunks", """WITH l AS (SELECT path, len(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS t FROM documents WHERE lang = 'rust' AND path IS NOT NULL AND text <> '' AND NOT regexp_matches(text, '[\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]'))
+_UNIFIED = "regexp_replace(regexp_replace(text, '\\r\\n|[\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]', chr(10), 'g'), '\\n$', '')"
+
+
+@query("src_s18_s27_w6_chunks", f"""WITH l AS (SELECT path, len(string_split({_UNIFIED}, chr(10))) AS t FROM documents WHERE path IS NOT NULL AND text <> '')
     SELECT path, 'main' AS branch, sum(greatest(0, ceil((t - 20) / 16.0))::BIGINT + 1)::BIGINT AS n FROM l GROUP BY 1""")
 def _(s, d):
-    docs = table(s, d, "documents").where("lang = 'rust' and path is not null and text <> ''").where(~F.col("text").rlike("[\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"))
+    docs = table(s, d, "documents").where("path is not null and text <> ''")
     return readers.line_chunks(docs.select("path", "text"), 20, 4, branch="main").groupBy("path", "branch").agg(F.count("*").alias("n"))
 
 
@@ -76,16 +79,17 @@ def _(s, d):
     return readers.read_sequences(s, path).select(F.size("tokens").cast("bigint").alias("n"), F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
 
 
-@query("src_s22_s23_j5_bundle", "SELECT (pack_id - 1)::INTEGER AS pos, len(tokens)::BIGINT AS n, 'packs' AS source FROM packed_sequences WHERE pack_id <= 50 AND tokens IS NOT NULL AND pack_id <= (SELECT coalesce(min(pack_id), 51) - 1 FROM packed_sequences WHERE tokens IS NULL)")
+@query("src_s22_s23_j5_bundle", "SELECT ((pack_id - 1) % 100)::INTEGER AS pos, len(tokens)::BIGINT AS n, 'packs-' || ((pack_id - 1) // 100)::VARCHAR AS source FROM packed_sequences")
 def _(s, d):
-    # a bundle is one document, so it holds the few sequences before the first missing one
-    p = table(s, d, "packed_sequences")
-    gap = p.where("tokens is null").agg((F.coalesce(F.min("pack_id"), F.lit(51)) - 1).alias("last"))
-    few = p.crossJoin(gap).where("pack_id <= 50 and pack_id <= last and tokens is not null")
-    doc = few.agg(F.transform(F.array_sort(F.collect_list(F.struct("pack_id", "tokens"))), lambda x: x["tokens"]).alias("token_sequences"), F.map_from_entries(F.collect_list(F.struct((F.col("pack_id") - 1).cast("string"), F.struct(F.lit("packs").alias("source"))))).alias("metadata"))
+    # bundles of a hundred sequences each, missing ones included
+    p = table(s, d, "packed_sequences").withColumn("b", F.floor((F.col("pack_id") - 1) / 100)).withColumn("pos", (F.col("pack_id") - 1) % 100)
+    doc = p.groupBy("b").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "tokens"))), lambda x: x["tokens"]).alias("token_sequences"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("string"), F.struct(F.concat(F.lit("packs-"), F.col("b").cast("string")).alias("source"))))).alias("metadata"),
+    )
     path = scratch(s, "bundle")
-    doc.coalesce(1).write.json(path)
-    return readers.read_bundle(s, path).select("pos", F.size("tokens").cast("bigint").alias("n"), F.col("metadata.source").alias("source"))
+    doc.drop("b").write.json(path)
+    return readers.read_bundle(s, path, one_document=False).select("pos", F.when(F.col("tokens").isNotNull(), F.size("tokens")).cast("bigint").alias("n"), F.col("metadata.source").alias("source"))
 
 
 @query("src_s26_k12_metrics", "SELECT event_id AS step, value AS train_loss FROM events WHERE value IS NOT NULL")
@@ -206,9 +210,9 @@ def _(s, d):
     return pipelines.file_corpus(table(s, d, "documents"), 256).groupBy("split", "priority").agg(F.count("*").alias("n"))
 
 
-@query("srt_t5_t8_entropy_order", "SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')[:10], ' ') AS head FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(304))")
+@query("srt_t5_t8_entropy_order", "SELECT doc_id, array_to_string(regexp_extract_all(lower(replace(text, chr(304), 'i' || chr(775))), '[\\p{L}\\p{N}_]+')[:10], ' ') AS head FROM documents WHERE text IS NOT NULL")
 def _(s, d):
-    docs = table(s, d, "documents").where(F.col("text").isNotNull() & ~F.contains("text", F.lit("İ")))
+    docs = table(s, d, "documents").where("text is not null")
     return docs.select("doc_id", F.array_join(F.slice(words(F.col("text")), 1, 10), " ").alias("head"))
 
 
@@ -238,8 +242,9 @@ def _(s, d):
 def _(s, d):
     from tessera.operators import linalg
 
-    e = table(s, d, "embeddings").where("vec_id <= 64").select((F.col("vec_id") - 1).cast("int").alias("i"), F.col("embedding").alias("vector"))
-    return linalg.attention(e, e, e, 0.125).select("i", F.round(linalg.norm(F.col("vector")), 4).alias("norm"))
+    # sequences of 64 vectors
+    e = table(s, d, "embeddings").select(F.floor(F.col("vec_id") / 64).alias("seq"), (F.col("vec_id") % 64).alias("i"), F.col("embedding").alias("vector"))
+    return linalg.attention(e, e, e, 0.125).select("seq", "i", F.round(linalg.norm(F.col("vector")), 4).alias("norm"))
 
 
 @query("col_p54_tiers", """SELECT tier, context, round(4 * context / 1024.0::DOUBLE / 1024 * 2.5, 6)::DOUBLE AS gb FROM (VALUES (1, 4096), (2, 8192), (3, 16384), (4, 32768), (5, 57344)) t(tier, context)""")

@@ -48,10 +48,10 @@ def _(s, d):
     return windows.stream_windows(e, "t", ["example_id"], 2048, 0, keep_from=512).select("window_no", "n_real", _sum("window").alias("total"))
 
 
-@query("win_w6_lines", """WITH l AS (SELECT doc_id, len(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS t FROM documents WHERE text <> '' AND NOT regexp_matches(text, '[\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]')),
+@query("win_w6_lines", """WITH l AS (SELECT doc_id, len(string_split(regexp_replace(regexp_replace(text, '\\r\\n|[\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]', chr(10), 'g'), '\\n$', ''), chr(10))) AS t FROM documents WHERE text <> ''),
     w AS (SELECT doc_id, t, unnest(range(0, greatest(0, ceil((t - 20) / 16.0))::BIGINT + 1)) AS i FROM l) SELECT doc_id, (i * 16 + 1)::INTEGER AS start_line, least(t, i * 16 + 20)::INTEGER AS end_line FROM w""")
 def _(s, d):
-    docs = table(s, d, "documents").where("text <> ''").where(~F.col("text").rlike("[\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"))
+    docs = table(s, d, "documents").where("text <> ''")
     w = docs.select("doc_id", F.explode(windows.line_windows(C.split_lines(F.col("text")), 20, 4)).alias("w"))
     return w.select("doc_id", F.col("w.start_line").cast("int").alias("start_line"), F.col("w.end_line").cast("int").alias("end_line"))
 

@@ -37,9 +37,9 @@ def diffs_of(nested: DataFrame) -> DataFrame:
     return nested.select(F.col("meta.hash").alias("commit_hash"), F.posexplode("diffs").alias("pos", "d")).select("commit_hash", "pos", "d.*")
 
 
-def read_bundle(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, tokens, metadata): sequences of one JSON bundle with their metadata, looked up by position."""
-    doc = spark.read.schema(f"token_sequences array<array<int>>, metadata map<string,{SEQUENCE_META}>").option("multiLine", True).json(path)
+def read_bundle(spark: SparkSession, path: str, one_document: bool = True) -> DataFrame:
+    """(pos, tokens, metadata): sequences of a JSON bundle per file, or per line, with their metadata, looked up by position."""
+    doc = spark.read.schema(f"token_sequences array<array<int>>, metadata map<string,{SEQUENCE_META}>").option("multiLine", one_document).json(path)
     return doc.select(F.posexplode("token_sequences").alias("pos", "tokens"), "metadata").select("pos", "tokens", F.try_element_at("metadata", F.col("pos").cast("string")).alias("metadata"))
 
 
