@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tessera.session import cut, spread
 
 PADDING = 0
-#: Items ranked together in one task, about; more are ranked in several groups of one length.
+#: Items of one length ranked together in one task, about; more are ranked in several groups.
 RANKED = 500_000
 
 
@@ -108,10 +108,9 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, i
     return plan
 
 
-def _ranked(pieces: DataFrame) -> DataFrame:
-    """Adds ``rank``, from 0, within (budget_id, length); groups of one length share the work."""
-    groups = F.pmod(F.xxhash64("rid", "piece"), F.lit(64)).cast("int")
-    pieces = pieces.withColumn("g", groups)
+def _ranked(pieces: DataFrame, groups: int) -> DataFrame:
+    """Adds ``rank``, from 0, within (budget_id, length); ``groups`` parts of one length are ranked on their own and follow each other."""
+    pieces = pieces.withColumn("g", F.pmod(F.xxhash64("rid", "piece"), F.lit(groups)).cast("int"))
     counts = pieces.groupBy("budget_id", "length", "g").agg(F.count("*").alias("c"))
     before = counts.select("budget_id", "length", "g", (F.sum("c").over(W.partitionBy("budget_id", "length").orderBy("g")) - F.col("c")).alias("before"))
     inner = F.row_number().over(W.partitionBy("budget_id", "length", "g").orderBy(F.xxhash64("rid", "piece"), "rid", "piece"))
@@ -131,6 +130,7 @@ def assign(lengths: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
         plan = best_fit({r["length"]: r["c"] for r in histogram if r["budget_id"] == b}, c)
         plans[b] = tuple(np.array(x, np.int64) for x in zip(*sorted(plan))) if plan else None
     shared = spark.sparkContext.broadcast(plans)  # a few intervals per length
+    groups = max(1, -(-max((r["c"] for r in histogram), default=0) // RANKED))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wide = 1 << 42
@@ -147,7 +147,7 @@ def assign(lengths: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
                 container[k], slot[k] = first[i] + d // each[i], at[i] + d % each[i]
             yield pd.DataFrame({"rid": p["rid"], "budget_id": p["budget_id"], "piece": p["piece"], "length": p["length"], "container": container, "place": slot})
 
-    return _ranked(pieces).mapInPandas(place, "rid bigint, budget_id int, piece int, length int, container bigint, place bigint")
+    return _ranked(pieces, groups).mapInPandas(place, "rid bigint, budget_id int, piece int, length int, container bigint, place bigint")
 
 
 def pack(items: DataFrame, budgets: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -122,6 +122,14 @@ def test_pack(spark):
     assert packing.pack(df.limit(0), budgets).count() == 0
 
 
+def test_ranks_in_groups(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [1] * (3 + i % 4)) for i in range(200)], "pack_id bigint, tokens array<int>")
+    budgets = spark.createDataFrame([(1, 16, 99, 0)], "budget_id int, capacity int, eos_id int, pad_id int")
+    whole = sorted(r["n_items"] for r in packing.pack(df, budgets).collect())
+    monkeypatch.setattr(packing, "RANKED", 7)
+    assert sorted(r["n_items"] for r in packing.pack(df, budgets).collect()) == whole
+
+
 def split_list(items, sep):
     out = [[]]
     for x in items:
@@ -395,6 +403,7 @@ def test_mix(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
     rep = {r["source"]: r for r in mixing.mix_report(df, targets, total_tokens=30_000, block_tokens=64).collect()}
     assert rep["gone"]["tokens"] == 0 and abs(sum(r["share"] for r in rep.values()) - 1) < 1e-9
+    assert {r["share"] for r in mixing.mix_report(df.limit(0), targets).collect()} == {0.0}
     assert mixing.mix(df.limit(0), targets).count() == 0 and mixing.mix(df, targets.limit(0)).count() == 0
 
 
