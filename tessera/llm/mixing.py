@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.tokenizer import token_counts
+from tessera.operators.stats import rate
 from tessera.session import cut
 
 BLOCK_TOKENS = 2_048
@@ -92,6 +93,6 @@ def mix_report(docs: DataFrame, targets: DataFrame, **options) -> DataFrame:
     want = targets.where("source is not null").groupBy("source").agg(F.sum(F.greatest(F.coalesce("target_weight", F.lit(0.0)), F.lit(0.0))).alias("w"), F.max("max_repeats").alias("max_repeats"))
     every = W.partitionBy()  # over the listed sources only
     return want.join(drawn, "source", "left").select(
-        "source", (F.col("w") / F.sum("w").over(every)).alias("target_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
-        (F.coalesce("tokens", F.lit(0)) / F.sum(F.coalesce("tokens", F.lit(0))).over(every)).alias("share"), F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "max_repeats",
+        "source", rate(F.col("w"), F.sum("w").over(every)).alias("target_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
+        rate(F.coalesce("tokens", F.lit(0)), F.sum(F.coalesce("tokens", F.lit(0))).over(every)).alias("share"), F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "max_repeats",
     )
