@@ -25,7 +25,8 @@ def dedup_prefix(df: DataFrame, tokens: str, order: list[str], n: int = 256) ->
 def ngram_signatures(df: DataFrame, key: str, text: str, n: int = 5, top: int = 100) -> DataFrame:
     """(key, signature): digest of the sorted ``top`` most frequent word n-grams of each text, ties by first occurrence."""
     w = words(F.coalesce(text, F.lit("")))
-    rows = df.select(key, w.alias("w"))
+    # placed by key once, so that counting and ranking the n-grams of a text needs no shuffle of n-grams
+    rows = df.select(key, w.alias("w")).repartition(key)
     grams = F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))
     each = rows.select(key, F.posexplode(grams).alias("pos", "gram"))
     counts = each.groupBy(key, "gram").agg(F.count("*").alias("c"), F.min("pos").alias("first"))

@@ -52,7 +52,9 @@ def encode(df: DataFrame, key: str, tokens: Column, vocab: DataFrame, unknown: i
     """
     ids = cut(vocab.select("token", "id"))
     small = ids.count() <= most
-    each = df.select(F.col(key), F.posexplode_outer(tokens).alias("pos", "token"))
+    rows = df.select(F.col(key), tokens.alias("t_"))
+    # with a broadcast vocabulary, rows placed by key stay there to the end
+    each = (rows.repartition(key) if small else rows).select(key, F.posexplode_outer("t_").alias("pos", "token"))
     coded = each.join(F.broadcast(ids) if small else ids, "token", "left")
     listed = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id"))))
     return coded.groupBy(key).agg(F.transform(F.array_sort(listed), lambda x: x["id"]).alias("ids"))
