@@ -8,11 +8,13 @@ endings, as are all others: what a chunk's patch adds and removes is its new and
 is lost where one of them is a strict beginning of the other, where it stops in a replacement character,
 or where a last hunk holds fewer lines than its header says.  Since headers are also plainly wrong at
 times, the last sign counts only at a limit, or for origins where it is more than twice as frequent as
-for origins that lose nothing.
+for the reference: the origins whose rate of sure cuts is lowest.  Rates carry one cut more than was seen, so a stray
+cut takes no large origin out of the reference, and a small one without a cut yet is not in it.
 
 Defined results: null and empty values have lost nothing; a value at a limit that its counterpart
 proves whole is whole; ties between encodings go to the first in ``ENCODINGS``; a null origin is a group
-of its own; repeated chunk_ids are judged row by row and reported once; empty tables give empty results.
+of its own; repeated chunk_ids are judged row by row and reported once; empty tables give empty results; where no
+origin is clean, the least cut ones are the reference, whose own short hunks are not trusted.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ ENCODINGS = ("chars", "utf8", "utf16", "entities", "entities_utf8", "json", "jso
 #: A limit needs this many values at one length, so many times the average number at lengths just below, and at most this share above.
 PILE, PEAK, ABOVE = 5, 8.0, 0.1
 LEAST_LIMIT = 64
+#: Origins with up to this many times the lowest cut rate are the reference; others lose more only beyond it, in cuts and in short last hunks.
+TIMES = 2
 #: A cut by bytes may drop the rest of a character (up to 3 bytes) or replace its bytes (3 bytes each).
 SLACK_BELOW, SLACK_ABOVE = 3, 6
 
@@ -175,11 +179,14 @@ def verdicts(chunks: DataFrame) -> DataFrame:
     bytewise = F.col("encoding").endswith("utf8")
     at = F.coalesce(F.when(bytewise, over.between(-SLACK_BELOW, SLACK_ABOVE)).otherwise(over == 0), F.lit(False))
     rows = joined.withColumn("at_limit", at)
-    # how often a last hunk is short where nothing else is wrong, by origin; origins that lose nothing show how often headers are wrong
+    # how often a last hunk is short where nothing else is wrong, by origin; the origins with the lowest cut rate show how often headers are wrong
     plain = F.col("short") & ~F.col("cut") & ~F.col("at_limit")
-    by = rows.groupBy("origin").agg(F.count_if(F.col("field") == "patch").alias("patches"), F.count_if(plain).alias("short_n"), F.count_if(F.col("cut") & ~F.col("at_limit")).alias("cuts"))
-    wrong = by.where("cuts = 0").agg((F.sum("short_n") / F.sum("patches")).alias("usual"))
-    trusted = by.crossJoin(F.broadcast(wrong)).where((F.col("cuts") > 0) & F.col("usual").isNotNull() & (F.col("short_n") > 2 * F.col("usual") * F.col("patches"))).select(F.col("origin").alias("o"), F.lit(True).alias("trust"))
+    by = rows.groupBy("origin").agg(F.count_if(F.col("field") == "patch").alias("patches"), F.count_if(plain).alias("short_n"), F.count_if(F.col("cut") & ~F.col("at_limit")).alias("cuts"), F.count_if(~F.col("at_limit")).alias("judged"))
+    by = cut(by.where("patches > 0").withColumn("rate", (F.col("cuts") + 1) / (F.col("judged") + 1)))
+    lowest = by.agg(F.min("rate").alias("lowest"))
+    wrong = by.crossJoin(F.broadcast(lowest)).where(F.col("rate") <= TIMES * F.col("lowest")).agg((F.sum("short_n") / F.sum("patches")).alias("usual"), F.first("lowest").alias("lowest"))
+    more = (F.col("cuts") > TIMES * F.col("lowest") * F.col("judged")) & (F.col("short_n") > TIMES * F.col("usual") * F.col("patches"))
+    trusted = by.crossJoin(F.broadcast(wrong)).where(more).select(F.col("origin").alias("o"), F.lit(True).alias("trust"))
     rows = rows.join(trusted, F.col("origin").eqNullSafe(F.col("o")), "left")
     lost = F.col("cut") | (F.col("at_limit") & ~F.col("whole")) | (F.col("short") & F.coalesce("trust", F.lit(False)))
     return rows.select("chunk_id", "origin", "field", lost.alias("truncated"), "at_limit", "ending", "encoding", "limit")

@@ -304,6 +304,22 @@ def test_truncation(spark):
     assert truncation.truncated_values(df.limit(0)).count() == 0
 
 
+def test_short_hunks_where_no_origin_is_clean(spark):
+    code = "a();\nb();\nc();"
+    patch = "@@ -1,0 +1,3 @@\n" + "\n".join("+" + x for x in code.split("\n"))
+    short = patch.replace("+1,3", "+1,7")
+    rows = []
+    for origin, n, cuts, shorts in (("clean", 400, 1, 4), ("lossy", 200, 20, 30), ("small", 4, 0, 2)):
+        for i in range(n):
+            new, p = (code[:7], patch) if i < cuts else (code, short if i < cuts + shorts else patch)
+            rows.append((f"{origin}{i}", origin, None, new, p))
+    df = spark.createDataFrame(rows, "chunk_id string, origin string, old_code string, new_code string, patch string")
+    got = Counter((r["origin"], r["field"]) for r in truncation.verdicts(df).where("truncated").collect())
+    assert got == {("clean", "new_code"): 1, ("lossy", "new_code"): 20, ("lossy", "patch"): 30}
+    alone = Counter((r["origin"], r["field"]) for r in truncation.verdicts(df.where("origin = 'lossy'")).where("truncated").collect())
+    assert alone == {("lossy", "new_code"): 20}
+
+
 def test_encoded_lengths():
     import html
     import json
