@@ -196,6 +196,25 @@ def _evaluation_pieces(rows: DataFrame, sketch, order, shards: int, wide: bool)
     return rows.mapInArrow(run, _PIECES)
 
 
+def _anchored(v: np.ndarray, lengths: np.ndarray, rank: np.ndarray, shards: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(record, start, size, shard) of the cuts, at their anchors, of the records of ``least`` tokens or more."""
+    at = np.cumsum(lengths) - lengths
+    windows = np.where(lengths >= least, lengths - WIDTH + 1, 0)
+    row = np.repeat(np.arange(len(lengths)), windows)
+    first = take_ranges(at, windows)
+    key = rank[v % SKETCH] << 3
+    best = key[first]
+    for d in range(1, WIDTH):
+        np.minimum(best, key[first + d] | d, out=best)
+    anchor = first + (best & 7)
+    new = np.ones(len(row), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+    run_at = np.flatnonzero(new)
+    count = np.diff(np.append(run_at, len(row)))
+    shard = (_mix(v[anchor[run_at]]) % np.uint64(shards)).astype(np.int64)
+    return row[run_at], first[run_at] - at[row[run_at]], count + WIDTH - 1, shard
+
+
 def _training_pieces(rows: DataFrame, order, shards: int, wide: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
@@ -205,23 +224,11 @@ def _training_pieces(rows: DataFrame, order, shards: int, wide: bool) -> DataFra
                 if not len(v):
                     continue
                 at = np.cumsum(lengths) - lengths
-                windows = np.where(lengths >= 10, lengths - WIDTH + 1, 0)
-                row = np.repeat(np.arange(len(lengths)), windows)
-                first = take_ranges(at, windows)
-                key = rank[v % SKETCH] << 3
-                best = key[first]
-                for d in range(1, WIDTH):
-                    np.minimum(best, key[first + d] | d, out=best)
-                anchor = first + (best & 7)
-                new = np.ones(len(row), bool)
-                new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
-                run_at = np.flatnonzero(new)
-                count = np.diff(np.append(run_at, len(row)))
-                shard = (_mix(v[anchor[run_at]]) % np.uint64(shards)).astype(np.int64)
+                row, start, size, shard = _anchored(v, lengths, rank, shards, 10)
                 r2, s2, z2 = _short_pieces(lengths, False)
                 yield _pack(
-                    ids, lengths, v, np.concatenate([row[run_at], r2]), np.concatenate([first[run_at] - at[row[run_at]], s2]),
-                    np.concatenate([count + WIDTH - 1, z2]), np.concatenate([shard, _gram_shards(v, at[r2] + s2, z2, shards)]), 1, wide,
+                    ids, lengths, v, np.concatenate([row, r2]), np.concatenate([start, s2]),
+                    np.concatenate([size, z2]), np.concatenate([shard, _gram_shards(v, at[r2] + s2, z2, shards)]), 1, wide,
                 )
 
     return rows.mapInArrow(run, _PIECES)
@@ -402,28 +409,154 @@ def cross_split_pairs(examples: DataFrame) -> DataFrame:
     return p.select(F.least("x", "e").alias("example_a"), F.greatest("x", "e").alias("example_b")).distinct()
 
 
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Tokens of a run that counts as covered, for evaluation records of n tokens."""
+    return np.where(n < SHORT, np.minimum(n, 4), WIDTH)
+
+
+def _narrow_sketch(rows: DataFrame) -> np.ndarray:
+    """Whether a hash bucket holds a run of an evaluation record below ``SHORT``, by size of the run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((WIDTH, SKETCH), bool)
+        for b in batches:
+            _, v, lengths = _records(b)
+            at = np.cumsum(lengths) - lengths
+            for s in range(1, 5):
+                n = np.where((lengths > 0) & (lengths < SHORT) & (_narrow(lengths) == s), lengths - s + 1, 0)
+                seen[s, (_gram_hash(v, take_ranges(at, n), s) % np.uint64(SKETCH)).astype(np.int64)] = True
+        size, k = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(k)], names=["size", "k"])
+
+    got = rows.mapInArrow(run, "size bigint, k bigint").distinct().toPandas()
+    seen = np.zeros((WIDTH, SKETCH), bool)
+    seen[got["size"].to_numpy(np.int64), got["k"].to_numpy(np.int64)] = True
+    return seen
+
+
+def _window_pieces(rows: DataFrame, order, narrow, shards: int, wide: bool, side: int) -> DataFrame:
+    """All windows of the records of one side: cuts at anchors, and the runs that short evaluation records need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank, seen = order.value, narrow.value
+        for big in batches:
+            for b in (big.slice(i, 2000) for i in range(0, big.num_rows, 2000)):
+                ids, v, lengths = _records(b)
+                if not len(v):
+                    continue
+                at = np.cumsum(lengths) - lengths
+                parts = [_anchored(v, lengths, rank, shards, WIDTH if side else SHORT)]
+                for s in range(1, 5):
+                    if not seen[s].any():
+                        continue
+                    own = lengths >= s if side else (lengths > 0) & (lengths < SHORT) & (_narrow(lengths) == s)
+                    n = np.where(own, lengths - s + 1, 0)
+                    row, first = np.repeat(np.arange(len(lengths)), n), take_ranges(at, n)
+                    h = _gram_hash(v, first, s)
+                    k = seen[s, (h % np.uint64(SKETCH)).astype(np.int64)]
+                    row, first, h = row[k], first[k], h[k]
+                    parts.append((row, first - at[row], np.full(len(row), s), (h % np.uint64(shards)).astype(np.int64)))
+                yield _pack(ids, lengths, v, *(np.concatenate([p[i] for p in parts]) for i in range(4)), side, wide)
+
+    return rows.mapInArrow(run, _PIECES)
+
+
+def _windows(block: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, id, place, size) of each window of a block."""
+    ids, _, pieces, starts, tokens = _unpack(block, wide)
+    stop = np.flatnonzero(tokens == 0)
+    begin = np.concatenate([[0], stop[:-1] + 1])
+    size, owner = stop - begin, np.repeat(ids, pieces)
+    out = []
+    for s in (1, 2, 3, 4, WIDTH):
+        k = np.flatnonzero(size >= WIDTH if s == WIDTH else size == s)
+        n = size[k] - s + 1
+        first = take_ranges(begin[k], n)
+        k = np.repeat(k, n)
+        out.append((_mix(_gram_hash(tokens, first, s) + np.uint64(s)), owner[k], starts[k] + first - begin[k], np.full(len(k), s)))
+    return tuple(np.concatenate([x[i] for x in out]) for i in range(4))
+
+
+def _merged(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, start, end) of the intervals of each group, touching ones as one."""
+    order = np.lexsort((a, group))
+    group, a, b = group[order], a[order], b[order]
+    number = np.cumsum(np.append(False, group[1:] != group[:-1])[: len(group)]).astype(np.int64) << 32
+    reach = np.maximum.accumulate(number + b)
+    new = np.ones(len(group), bool)
+    new[1:] = number[1:] + a[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(group))[: len(at)] - 1
+    return group[at], a[at], reach[last] - number[last]
+
+
+def _covered(pieces: DataFrame, wide: bool) -> DataFrame:
+    """(x, a, b): intervals of evaluation records whose windows stand in a training text, by shard."""
+
+    def intervals(own: list[tuple], found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, x, place, size = own
+        if found.any():
+            x, a, b = _merged(x[found], place[found], place[found] + size[found])
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["x", "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blocks, own = None, [], None
+        for batch in batches:
+            for s, side, block in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if s != now:
+                    if own is not None:
+                        yield from intervals(own, hit[which])
+                    now, blocks, own = s, [], None
+                if side == 0:
+                    blocks.append(block)
+                    continue
+                if not blocks and own is None:
+                    continue
+                if own is None:
+                    own = tuple(np.concatenate(x) for x in zip(*(_windows(x, wide) for x in blocks)))
+                    blocks = []
+                    keys, which = np.unique(own[0], return_inverse=True)
+                    hit = np.zeros(len(keys), bool)
+                h = _windows(block, wide)[0]
+                if len(keys):
+                    k = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                    hit[k[keys[k] == h]] = True
+        if own is not None:
+            yield from intervals(own, hit[which])
+
+    return pieces.mapInArrow(run, "x bigint, a int, b int")
+
+
 def coverage(examples: DataFrame) -> DataFrame:
-    """Per evaluation record with a match: tokens of its searched passages that stand in training
-    texts at a place that allows a pair, as merged intervals: number, covered tokens, longest."""
+    """Per evaluation record: its tokens that stand in training texts in runs of six or more, wherever they
+    stand there, as merged intervals: number, covered tokens, longest.  Below twelve tokens runs of four count,
+    and below four the whole record; records without such a run have no row.  Windows are compared by 64-bit hashes."""
     o = Overlap(examples)
-    spans = o.matches().select("x", "place", "size").distinct().groupBy("x").agg(F.array_sort(F.collect_list(F.struct("place", "size"))).alias("s"))
-    empty = F.array().cast("array<struct<a:int,b:int>>")
-    merged = F.aggregate(
-        "s",
-        empty,
-        lambda acc, v: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["b"] >= v["place"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["a"].alias("a"), F.greatest(F.element_at(acc, -1)["b"], v["place"] + v["size"]).alias("b")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(v["place"].alias("a"), (v["place"] + v["size"]).alias("b"))))),
-    )
-    out = spans.select("x", merged.alias("m"))
+    _, tokens, top, wanted = _statistics(o.evaluation)
+    sc = o.spark.sparkContext
+    parts = int(o.spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(parts, -(-wanted // SHARD_PASSAGES))
+    wide = top >= _TOP[False]  # larger training tokens are stored as the top one, which must be no evaluation token
+    order, narrow = sc.broadcast(_order(tokens)), sc.broadcast(_narrow_sketch(o.evaluation))
+    pieces = _window_pieces(o.evaluation, order, narrow, shards, wide, 0).unionAll(_window_pieces(o.training, order, narrow, shards, wide, 1))
+    n = max(parts, -(-shards // 4))
+    spans = _covered(pieces.repartitionById(n, F.col("shard") % F.lit(n)).sortWithinPartitions("shard", "side"), wide)
+    lists = spans.groupBy("x").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy())
+            row, a, b = _merged(row, *(batch.column(i).flatten().to_numpy().astype(np.int64) for i in (1, 2)))
+            first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            size = (b - a).astype(np.int32)
+            counts = [np.diff(np.append(first, len(row))).astype(np.int32), np.add.reduceat(size, first).astype(np.int32), np.maximum.reduceat(size, first)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, counts)], names=["x", "intervals", "covered_tokens", "longest"])
+
+    out = lists.select("x", "a", "b").mapInArrow(run, "x bigint, intervals int, covered_tokens int, longest int")
     members = o.copies.where("not train").select(F.col("rep").alias("x"), "example_id")
-    return out.join(members, "x", "left").select(
-        F.coalesce("example_id", "x").alias("example_id"),
-        F.size("m").alias("intervals"),
-        F.aggregate("m", F.lit(0), lambda a, v: a + v["b"] - v["a"]).alias("covered_tokens"),
-        F.array_max(F.transform("m", lambda v: v["b"] - v["a"])).alias("longest"),
-    )
+    return out.join(members, "x", "left").select(F.coalesce("example_id", "x").alias("example_id"), "intervals", "covered_tokens", "longest")
 
 
 def overlap_report(examples: DataFrame) -> DataFrame:

@@ -231,6 +231,39 @@ def test_overlap_empty_and_report(spark):
     assert overlap.cross_split_pairs(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("top", [300, 63_999, 70_000])
+def test_coverage_equals_brute_force(spark, top):
+    rng = random.Random(top)
+    draw = lambda n: [rng.randrange(1, top + 1) for _ in range(n)]
+    whole = draw(900)
+    rows = [("val", whole), ("train", list(whole)), ("val", draw(7) + whole[100:111] + draw(5) + whole[300:305] + draw(9)), ("test", whole[500:650]), ("val", [top] * 3), ("train", draw(20) + [top] * 3)]
+    for i in range(60):
+        n = rng.choice([1, 2, 3, 4, 5, 6, 8, 9, 11, 12, 17, 40, 200])
+        t = draw(n)
+        rows.append((rng.choice(["val", "test"]), t))
+        if i % 2:
+            cut = rng.randrange(n)
+            rows.append(("train", draw(rng.randrange(40)) + t[cut : cut + rng.randrange(30)] + [90_000] + draw(9)))
+    data = [{"example_id": i, "context": t[: len(t) // 2], "target": [0, *t[len(t) // 2 :]], "split": s} for i, (s, t) in enumerate(rows)]
+    data += [{"example_id": 900 + i, "context": rows[0][1], "split": "test"} for i in range(2)]
+    grams = {w: {tuple(t[i : i + w]) for s, t in rows if s == "train" for i in range(len(t) - w + 1)} for w in (1, 2, 3, 4, 6)}
+    want = {}
+    for i, (s, t) in [*enumerate(rows), (900, rows[0]), (901, rows[0])]:
+        w = 6 if len(t) >= 12 else min(4, len(t))
+        spans = [(p, p + w) for p in range(len(t) - w + 1) if w and tuple(t[p : p + w]) in grams[w]]
+        merged = []
+        for a, b in spans:
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = b
+            else:
+                merged.append([a, b])
+        if s != "train" and merged:
+            want[i] = (len(merged), sum(b - a for a, b in merged), max(b - a for a, b in merged))
+    got = {r["example_id"]: (r["intervals"], r["covered_tokens"], r["longest"]) for r in overlap.coverage(examples(spark, data)).collect()}
+    assert got == want and got[0] == got[900] == (1, 900, 900) and got[3] == (1, 150, 150)
+    assert overlap.coverage(examples(spark, [])).count() == 0
+
+
 # ---- 5 ----
 
 
