@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +33,11 @@ LEAST_WORDS = 8
 SAMPLE = 1_500
 #: Words of a piece of a long line.
 PIECE = 24
-#: Pages whose suspicious lines hold a smaller share of the words cannot reach ``SHARE`` and are not decoded.
-DECODE = 0.25
+#: Symbols up to which pages are decoded together.
+TOGETHER = 2_000
 
 STATES = ("prose", "structure", "link list", "tag list", "menu")
 SYMBOLS = ("sentence", "code", "row", "heading", "described link", "bare link", "address", "hashtags", "phrases", "phrase", "run", "product", "nav", "other")
-_SUSPECT = frozenset(SYMBOLS.index(x) for x in ("bare link", "address", "hashtags", "phrases", "phrase", "run", "product", "nav"))
 
 # Function words of several languages (fixed values); without articles and prepositions that product names use.
 _FUNCTION = frozenset(
@@ -256,6 +256,38 @@ class Model:
             out.append(y)
         return out[::-1]
 
+    def decode(self, pages: list[list[int]]) -> list[list[int]]:
+        """``viterbi`` of each page, the pages of a batch step by step together."""
+        out: list[list[int]] = [[]] * len(pages)
+        for i, p in enumerate(pages):
+            if len(p) > TOGETHER:
+                out[i] = self.viterbi(p)
+        order = sorted((i for i, p in enumerate(pages) if 0 < len(p) <= TOGETHER), key=lambda i: -len(pages[i]))
+        if not order:
+            return out
+        n = np.array([len(pages[i]) for i in order])
+        flat = np.concatenate([np.array(pages[i], np.int8) for i in order])
+        at = np.cumsum(n) - n
+        moves, emits = np.array(self.moves), np.array(self.emits).T
+        best = np.array(self.start) + emits[flat[at]]
+        back = []
+        for t in range(1, int(n[0])):
+            k = int(np.searchsorted(-n, -t))  # pages longer than t
+            reach = best[:k, :, None] + moves
+            came = reach.argmax(1)
+            best[:k] = np.take_along_axis(reach, came[:, None], 1)[:, 0] + emits[flat[at[:k] + t]]
+            back.append(came.astype(np.int8))
+        y = best.argmax(1)
+        states = np.empty(len(flat), np.int8)
+        for t in range(int(n[0]) - 1, -1, -1):
+            k = int(np.searchsorted(-n, -t))
+            states[at[:k] + t] = y[:k]
+            if t:
+                y[:k] = back[t - 1][np.arange(k), y[:k]]
+        for i, a, m in zip(order, at.tolist(), n.tolist()):
+            out[i] = states[a : a + m].tolist()
+        return out
+
 
 @lru_cache(2)
 def trained(sample: int = SAMPLE, seed: int = 5) -> Model:
@@ -280,12 +312,10 @@ def trained(sample: int = SAMPLE, seed: int = 5) -> Model:
 # ---- application ----------------------------------------------------------------------------------
 
 
-def shares(text: str | None, model: Model) -> tuple[int, dict[str, int]]:
-    """(words, words by state) of a text; undecoded honest pages count as prose."""
-    if not text or text.isspace():
-        return 0, {}
+def _symbols(text: str | None) -> tuple[list[int], list[int]]:
+    """(symbols, words) of the pieces of a text."""
     symbols, words = [], []
-    for line in text.splitlines():
+    for line in (text or "").splitlines():
         if not line or line.isspace():
             continue
         for p in pieces(line) if len(line) >= 160 else (line,):
@@ -293,15 +323,22 @@ def shares(text: str | None, model: Model) -> tuple[int, dict[str, int]]:
                 x, n = symbol(p)
                 symbols.append(x)
                 words.append(n)
-    total = sum(words)
-    if not total:
-        return 0, {}
-    if sum(n for x, n in zip(symbols, words) if x in _SUSPECT) < DECODE * total:
-        return total, {"prose": total}
-    by: dict[str, int] = {}
-    for s, n in zip(model.viterbi(symbols), words):
-        by[STATES[s]] = by.get(STATES[s], 0) + n
-    return total, by
+    return symbols, words
+
+
+def all_shares(texts: list[str | None], model: Model) -> Iterator[tuple[int, dict[str, int]]]:
+    """(words, words by state) of each text; every page with words is decoded."""
+    parts = [x if sum(x[1]) else ([], []) for x in map(_symbols, texts)]
+    for states, (_, words) in zip(model.decode([x for x, _ in parts]), parts):
+        by: dict[str, int] = {}
+        for s, n in zip(states, words):
+            by[STATES[s]] = by.get(STATES[s], 0) + n
+        yield sum(words), by
+
+
+def shares(text: str | None, model: Model) -> tuple[int, dict[str, int]]:
+    """(words, words by state) of a text."""
+    return next(all_shares([text], model))
 
 
 def _label(docs: DataFrame, sample: int, all_rows: bool) -> DataFrame:
@@ -310,10 +347,9 @@ def _label(docs: DataFrame, sample: int, all_rows: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hmm = Model(*model.value)
-        for b in batches:
+        for b in (big.slice(i, 500) for big in batches for i in range(0, big.num_rows, 500)):
             rows = []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                total, by = shares(text, hmm)
+            for i, (total, by) in zip(b.column(0).to_pylist(), all_shares(b.column(1).to_pylist(), hmm)):
                 bad = by.get("link list", 0) + by.get("tag list", 0) + by.get("menu", 0)
                 flagged = total >= LEAST_WORDS and bad > SHARE * total
                 if all_rows or flagged:

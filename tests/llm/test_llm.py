@@ -497,6 +497,24 @@ def test_stuffed_pages(spark):
     assert spam_pages.stuffed_pages(df.limit(0)).count() == 0
 
 
+def test_every_page_is_decoded(spark):
+    said = "\n".join(f"We moved the parser of part {i} before the lexer so that it can see all of the tokens first." for i in range(12))
+    page = said + "\n" + "\n".join(f"- [linter {i}](https://a.example/{i})" for i in range(14)) + "\n" + said
+    df = spark.createDataFrame([(1, page, "s"), (2, "def f(x):\n    return g(x) == {1: 2}\n" * 9, "s"), (3, None, "s"), (4, " \n", "s")], "doc_id bigint, text string, source string")
+    got = {r["doc_id"]: r for r in spam_pages.labelled_pages(df).collect()}
+    assert 25 <= got[1]["link_words"] < got[1]["words"] / 4 and not got[1]["flagged"] and got[3]["words"] == got[4]["words"] == 0
+    assert set(spam_pages.shares("def f(x):\n    return g(x) == {1: 2}\n" * 9, spam_pages.trained())[1]) == {"structure"}
+
+
+def test_pages_decoded_together_as_alone(monkeypatch):
+    r, m = random.Random(3), spam_pages.trained()
+    pages = [[r.randrange(len(spam_pages.SYMBOLS)) for _ in range(r.choice([0, 1, 2, 9, 40, 130]))] for _ in range(200)]
+    want = [m.viterbi(p) if p else [] for p in pages]
+    assert m.decode(pages) == want
+    monkeypatch.setattr(spam_pages, "TOGETHER", 20)
+    assert m.decode(pages) == want and m.decode([]) == []
+
+
 # ---- queries ----
 
 
