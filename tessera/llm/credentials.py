@@ -5,7 +5,8 @@ user info, or a long mixed token) are cut into lexical tokens: quoted literals,
 blocks.  A linear-chain conditional random field with shape and context features labels each token;
 the Viterbi spans say exactly which characters are masked.  Lines that continue a literal (a trailing
 backslash or plus, a split ``concat!``) are labelled as one sequence, so the second half is masked too
-and only the first line is reported.  The body of a key block is masked up to its END line.
+and only the first line is reported; every other credential there is reported on its own line.  The body of a key
+block is masked up to its END line.
 
 The field is trained at first use on a bounded sample (``SAMPLE`` lines) of generated, labelled lines: assignments,
 calls, headers, URLs, comments and command lines around credentials of many shapes, and the look-alikes
@@ -529,6 +530,8 @@ def candidate_lines(text: str) -> list[int]:
 
 _FIVE = re.compile(r"-----BEGIN ")  # five dashes are those of a key, six are a removed key
 _CONTINUES = re.compile(r"(?:\\|\+|concat!\([^)]*,)\s*$")
+#: What may stand between two parts of one literal; a lone sign of a patch after a line end is dropped before.
+_JOINT = re.compile(r"[\s\"'`+,\\]*")
 
 
 def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
@@ -536,6 +539,17 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
     found: list[tuple[int, int, int]] = []
     done = -1
     line_no, counted = 1, 0
+
+    def joined(a: int, b: int) -> bool:
+        """Whether what starts at ``b`` goes on with the literal that ends at ``a``."""
+        between = text[a:b]
+        if patch and "\n" in between:
+            signs = [text[i : i + 1] for i in (text.rfind("\n", 0, a) + 1, text.rfind("\n", 0, b) + 1)]
+            if any(x in ("+", "-") for x in signs) and signs[0] != signs[1]:
+                return False
+            between = re.sub(r"\n[-+ ]", "\n", between)
+        return _JOINT.fullmatch(between) is not None
+
     for start in candidate_lines(text):
         if start <= done:
             continue
@@ -557,29 +571,26 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
             line = text[s:nxt].rstrip("\r")
             seq += tokens_of(line, s)
             more = nxt
-            if len(seq) > 200:
-                break
         if not seq:
             continue
         first_line = text[start + skip : end]
         labels = field.viterbi(field.scores(features(seq, first_line)))
-        last = -2
-        began = False
+        masked = -1
         for i, (t, y) in enumerate(zip(seq, labels)):
-            if not y or t.kind == "p" or _PLACEHOLDER.match(t.text):
+            if not y or t.kind == "p" or t.at < masked or _PLACEHOLDER.match(t.text):
                 continue
             if t.kind in ("word", "lit") and _NAME.match(t.text) and not any(_OWNER.search(x.text) for x in seq[max(0, i - 4) : i]):
                 continue
             at, upto = t.at, t.at + len(t.text)
-            same = last == i - 1
-            continued = (at > end and began) or (same and not found[-1][0] == 0)
-            found.append((0 if continued else line_no, at, upto))
-            began = True
-            last = i
+            line_no += text.count("\n", counted, at)
+            counted = at
+            before = found[-1] if found and found[-1][2] > start else None
+            later = before is not None and (before[0] == 0 or "\n" in text[before[2] : at])
+            found.append((0 if later and joined(before[2], at) else line_no, at, upto))
             if t.kind == "pem" and "-----END" not in t.text and upto >= len(text[at:end].rstrip("\r")) + at:
                 for a, b in _body(text, end + 1, patch):
                     found.append((0, a, b))
-                    done = b
+                    done = masked = b
         done = max(done, more - 1 if more > end else done)
     return found
 

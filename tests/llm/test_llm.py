@@ -180,6 +180,23 @@ def test_redaction_keeps_all_else(spark):
     assert credentials.credential_lines(d.limit(0), c.limit(0)).count() == 0
 
 
+def masked(text, patch):
+    spans = credentials.find(text, credentials.trained(), patch)
+    return sorted({n for n, _, _ in spans if n}), credentials.mask(text, spans)
+
+
+def test_credentials_on_continued_lines():
+    for text, patch, lines in (
+        ("deploy --password kR7#pl0Zq9w \\\n  --token Zx81kkQpV7m2 \\\n  --verbose\n", False, [1, 2]),
+        ('-db --password "kR7#pl0Zq9w" \\\n+db --password "Vq7MZk3v#1xY" \\\n ok\n', True, [1, 2]),
+        ("run \\\n  --region eu \\\n  --password kR7#pl0Zq9w\n", False, [3]),
+        ('let password = "kR7#pl0Zq" +\n    "Zq9w1xY77";\nok();\n', False, [1]),
+        ("make \\\n" + "  a b c d \\\n" * 90 + "  --password kR7#pl0Zq9w \\\n  --password Vq7MZk3v#1xY\n", False, [92, 93]),
+    ):
+        got, out = masked(text, patch)
+        assert got == lines and not any(x in out for x in ("kR7", "Zx81", "Vq7M", "1xY77"))
+
+
 # ---- 4 ----
 
 
