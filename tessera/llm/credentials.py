@@ -6,7 +6,7 @@ blocks.  A linear-chain conditional random field with shape and context features
 the Viterbi spans say exactly which characters are masked.  Lines that continue a literal (a trailing
 backslash or plus, a split ``concat!``) are labelled as one sequence, so the second half is masked too
 and only the first line is reported; every other credential there is reported on its own line.  The body of a key
-block is masked up to its END line.
+block, indented, quoted or on one line as well, is masked up to its END line.
 
 The field is trained at first use on a bounded sample (``SAMPLE`` lines) of generated, labelled lines: assignments,
 calls, headers, URLs, comments and command lines around credentials of many shapes, and the look-alikes
@@ -587,29 +587,48 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
             before = found[-1] if found and found[-1][2] > start else None
             later = before is not None and (before[0] == 0 or "\n" in text[before[2] : at])
             found.append((0 if later and joined(before[2], at) else line_no, at, upto))
-            if t.kind == "pem" and "-----END" not in t.text and upto >= len(text[at:end].rstrip("\r")) + at:
-                for a, b in _body(text, end + 1, patch):
-                    found.append((0, a, b))
-                    done = masked = b
+            if "-----BEGIN" in t.text and "-----END" not in t.text:
+                stop = text.find("\n", upto)
+                if stop >= 0 and _REST.fullmatch(text, upto, stop):
+                    for a, b in _body(text, stop + 1, patch):
+                        found.append((0, a, b))
+                        done = masked = b
         done = max(done, more - 1 if more > end else done)
     return found
 
 
-_BODY = re.compile(r"^(?:[A-Za-z0-9+/]{1,76}={0,2}|[A-Za-z-]+: [^\n]*|)$")
+#: A line of a key's body, bare or as part of a string: indentation and quotes, the encoded text, and what may end such a line.
+_BODY = re.compile(r"([ \t]*[\"'`]?)((?:[A-Za-z0-9+/]+={0,2})?)(?:\\[nr])*[\"'`]?[ \t]*[,+\\;.)]*[ \t]*")
+_HEAD = re.compile(r"([ \t]*[\"'`]?)([A-Za-z-]+: [^\n]*)")
+_REST = re.compile(r"(?:\\[nr])*[\"'`]*[ \t]*[,+\\;.)]*\s*")
+_END = re.compile(r"[ \t]*[\"'`]?-----END ")
 
 
-def _body(text: str, lo: int, patch: bool) -> Iterator[tuple[int, int]]:
-    """Stretches of the lines of a key's body: encoded lines up to the first line of another kind."""
+def _body(text: str, lo: int, patch: bool) -> list[tuple[int, int]]:
+    """Stretches of the lines of a key's body: encoded lines up to its END line or the first line of another kind.
+    Indented or quoted, a header counts only before the encoded lines, and a short word only if the END line follows."""
+    out: list[tuple[int, int]] = []
+    word = None  # how many stretches come before the first short indented word
     while lo < len(text):
         end = text.find("\n", lo)
         end = len(text) if end < 0 else end
         a = lo + (1 if patch and text[lo : lo + 1] in ("+", "-", " ") else 0)
-        line = text[a:end].rstrip("\r")
-        if not _BODY.match(line):
-            return
-        if line:
-            yield a, a + len(line)
+        stop = a + len(text[a:end].rstrip("\r"))
+        if _END.match(text, a, stop):
+            return out
+        m = _BODY.fullmatch(text, a, stop)
+        if m is None:
+            m = _HEAD.fullmatch(text, a, stop)
+            if m is None or m[1] and (out or not m[2][0].isupper()):
+                break
+        elif not m[2] and text[a:stop].strip() and "\\" not in text[a:stop]:
+            break
+        elif m[2] != text[a:stop] and word is None and len(m[2]) < 16 and m[2].isalpha():
+            word = len(out)
+        if m[2]:
+            out.append(m.span(2))
         lo = end + 1
+    return out[:word]
 
 
 def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
