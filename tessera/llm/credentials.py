@@ -488,12 +488,14 @@ def _mixed(m: str) -> bool:
 
 
 _HINTS = "pass pwd pw secret cred key token auth bearer basic login :// private todo fixme tmp hunter akia asia ghp_ gho_ ghs_ ghu_ ghr_ sk- sk_ xox glpat- aiza eyj _live_ _test_ _prod_".split()
+#: The only form of ``_PREFIX`` without a hint, less what stands before it.
+_DOTTED = re.compile(r"\d\.[A-Za-z0-9]{8}")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 @lru_cache(1)
 def _hints():
-    """Automaton over short strings without one of which no line passes ``_GATE`` or ``_PREFIX`` with a credential word."""
+    """Automaton over short strings without one of which no line passes ``_GATE``, nor ``_PREFIX`` but for ``_DOTTED``."""
     import ahocorasick
 
     a = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
@@ -519,6 +521,14 @@ def candidate_lines(text: str) -> list[int]:
         if _GATE.search(line) or _PREFIX.search(line):
             starts.add(start)
     upto = -1
+    for m in _DOTTED.finditer(text):
+        if m.start() > upto:
+            start = text.rfind("\n", 0, m.start()) + 1
+            upto = text.find("\n", m.end())
+            upto = len(text) if upto < 0 else upto
+            if _PREFIX.search(text[start:upto]):
+                starts.add(start)
+    upto = -1
     for m in _MIXED.finditer(text):
         if m.start() > upto and _mixed(m[0]):
             starts.add(text.rfind("\n", 0, m.start()) + 1)
@@ -532,6 +542,28 @@ _FIVE = re.compile(r"-----BEGIN ")  # five dashes are those of a key, six are a
 _CONTINUES = re.compile(r"(?:\\|\+|concat!\([^)]*,)\s*$")
 #: What may stand between two parts of one literal; a lone sign of a patch after a line end is dropped before.
 _JOINT = re.compile(r"[\s\"'`+,\\]*")
+_HUNK = re.compile(r"@@ -\d+(?:,(\d+))? \+\d+(?:,(\d+))? @@")
+
+
+def _headers(text: str) -> set[int]:
+    """Starts of the file header lines of a patch: '--- ' directly followed by '+++ ' outside of a hunk."""
+    out: set[int] = set()
+    old = new = at = 0
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        sign = text[at : at + 1]
+        if sign == "@" and (m := _HUNK.match(text, at)):
+            old, new = int(m[1] or 1), int(m[2] or 1)
+        elif old > 0 or new > 0:
+            if sign in ("+", "-", " ", "\n", "\r"):
+                old, new = old - (sign != "+"), new - (sign != "-")
+            elif sign != "\\":
+                old = new = 0
+        elif text.startswith("--- ", at) and text.startswith("+++ ", end + 1):
+            out |= {at, end + 1}
+        at = end + 1
+    return out
 
 
 def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
@@ -539,6 +571,7 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
     found: list[tuple[int, int, int]] = []
     done = -1
     line_no, counted = 1, 0
+    headers: set[int] | None = None
 
     def joined(a: int, b: int) -> bool:
         """Whether what starts at ``b`` goes on with the literal that ends at ``a``."""
@@ -559,8 +592,10 @@ def find(text: str, field: Field, patch: bool) -> list[tuple[int, int, int]]:
         end = len(text) if end < 0 else end
         skip = 1 if patch and text[start : start + 1] in ("+", "-", " ") and not _FIVE.match(text, start) else 0
         line = text[start + skip : end].rstrip("\r")
-        if patch and line.startswith(("++ ", "-- ")) and skip:
-            continue
+        if skip and text.startswith(("--- ", "+++ "), start):
+            headers = _headers(text) if headers is None else headers
+            if start in headers:
+                continue
         seq = tokens_of(line, start + skip)
         more = end
         while _CONTINUES.search(line) and more < len(text):

@@ -209,6 +209,19 @@ def test_key_bodies_of_all_forms():
     assert masked(text, False)[1] == text.replace(part, "*" * len(part))
 
 
+def test_comment_lines_are_no_headers():
+    head = "--- a/db/x.sql\n+++ b/db/x.sql\n@@ -1,2 +1,2 @@\n"
+    for line in ("+-- login: s3cretPw9x", " -- password kR7#pl0Zq9w", '--- token = "Zx81kkQpV7m2"', '+++ password = "kR7#pl0Zq9w";'):
+        assert masked(head + line + "\n x\n", True)[0] == [4]
+    assert masked('@@ -1,2 +1,2 @@\n--- token = "Zx81kkQpV7m2"\n+++ token = "Vq7MZk3v1xY0"\n', True)[0] == [2, 3]
+    name = "password=kR7#pl0Zq9w"
+    assert masked(f"--- a/{name}\n+++ b/{name}\n@@ -1 +1 @@\n-a\n+b\n--- a/{name}\n+++ b/{name}\n@@ -1 +1 @@\n-a\n+b\n", True)[0] == []
+
+
+def test_prefix_without_credential_word():
+    assert masked('send("ab1.Zk3vQ1xY7p")\n', False) == ([1], 'send("**************")\n')
+
+
 # ---- 4 ----
 
 
