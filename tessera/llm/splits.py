@@ -250,6 +250,6 @@ def split_report(examples: DataFrame, commits: DataFrame, proportions: dict[str,
     per = got.groupBy("split", "label").agg(F.count("*").alias("n"))
     labels = per.groupBy("label").agg(F.sum("n").alias("of"))
     worst = per.join(F.broadcast(labels), "label").groupBy("split").agg(F.max(F.abs(F.col("n") / F.col("of") - want[F.col("split")])).alias("label_deviation"), F.sum("n").alias("records"))
-    groups = got.groupBy("split").agg(F.approx_count_distinct("root").alias("groups"))
+    groups = got.groupBy("split").agg(F.count_distinct("root").alias("groups"))
     everything = per.agg(F.sum("n").alias("everything"))
     return worst.join(groups, "split").crossJoin(F.broadcast(everything)).select("split", "records", "groups", (F.col("records") / F.col("everything")).alias("share"), want[F.col("split")].alias("wanted"), "label_deviation")

@@ -53,6 +53,12 @@ def test_split_keeps_groups_and_proportions(spark):
     assert abs(n["train"] - 2400) <= 15 and abs(n["val"] - 300) <= 15 and abs(n["test"] - 300) <= 15
 
 
+def test_split_report_counts_groups(spark):
+    df = examples(spark, [{"example_id": i, "commit_hash": f"{i + 16**7:040x}", "chunk_type": "ab"[i % 2]} for i in range(4000)])
+    rep = splits.split_report(df, df.select(F.col("commit_hash").alias("hash"))).collect()
+    assert sum(r["groups"] for r in rep) == 4000 and all(r["groups"] == r["records"] for r in rep)
+
+
 def test_anneal_improves():
     rng = random.Random(4)
     groups = [{rng.choice("ab"): rng.randrange(1, 9)} for _ in range(200)]
