@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
+from tessera.functions import tokens as T
 from tessera.functions.tokens import words
-from tessera.operators import history
+from tessera.operators import history, sampling
 from tessera.plans import formulas, pipelines
 from tessera.queries.registry import query, table
 from tessera.session import scratch
@@ -216,6 +217,20 @@ def _(s, d):
     return docs.select("doc_id", F.array_join(F.slice(words(F.col("text")), 1, 10), " ").alias("head"))
 
 
+@query("srt_t5_entropy_order", """WITH t AS (SELECT pack_id, unnest(tokens) AS t, len(tokens) AS n FROM packed_sequences WHERE len(tokens) >= 2), c AS (SELECT pack_id, t, n, count(*) AS c FROM t GROUP BY 1, 2, 3), e AS (SELECT pack_id, -sum(c / n::DOUBLE * log2(c / n::DOUBLE)) AS h FROM c GROUP BY 1),
+    k AS (SELECT p.pack_id, CASE WHEN len(p.tokens) < 2 THEN 0.0::DOUBLE ELSE round(greatest(least(1.0::DOUBLE, h / 8), 0), 5) END AS h FROM packed_sequences p LEFT JOIN e USING (pack_id) WHERE p.tokens IS NOT NULL)
+    SELECT pack_id, h AS entropy, row_number() OVER (ORDER BY 1.0::DOUBLE - h, pack_id NULLS FIRST) - 1 AS place FROM k""")
+def _(s, d):
+    p = table(s, d, "packed_sequences").where("tokens is not null").select("pack_id", F.round(T.entropy8(F.col("tokens")), 5).alias("entropy"))
+    return sampling.ranked(p.withColumn("low", F.lit(1.0) - F.col("entropy")), ["low", "pack_id"]).select("pack_id", "entropy", F.col("rank_").alias("place"))
+
+
+@query("srt_t2_complexity_order", "SELECT hash, scraped_at, row_number() OVER (ORDER BY coalesce(complexity_score, 0), hash NULLS FIRST, scraped_at NULLS FIRST) - 1 AS place FROM commits")
+def _(s, d):
+    c = table(s, d, "commits").select("hash", "scraped_at", F.coalesce("complexity_score", F.lit(0.0)).alias("complexity"))
+    return sampling.ranked(c, ["complexity", "hash", "scraped_at"]).select("hash", "scraped_at", F.col("rank_").alias("place"))
+
+
 @query("srt_t11_f9_limits", "SELECT pack_id FROM packed_sequences WHERE len(tokens) >= 512 ORDER BY pack_id LIMIT 25")
 def _(s, d):
     return table(s, d, "packed_sequences").where("size(tokens) >= 512").select("pack_id").orderBy("pack_id").limit(25)

@@ -173,6 +173,14 @@ def _(s, d):
     return sampling.upsample(table(s, d, "documents").select("doc_id"), ["doc_id"], 1100).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
+@query("smp_x4_upsample_tenth", f"""WITH b AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents), n AS (SELECT count(*) AS n FROM b), p AS (SELECT {_H.format("'42:' || i::VARCHAR")} % (SELECT n FROM n) AS r FROM range((SELECT n FROM n), (SELECT n + n // 10 FROM n)) t(i))
+    SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM b UNION ALL SELECT doc_id FROM p JOIN b USING (r)) GROUP BY 1""")
+def _(s, d):
+    docs = table(s, d, "documents").select("doc_id")
+    n = docs.count()
+    return sampling.upsample(docs, ["doc_id"], n + n // 10).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
 @query("smp_x5_weighted_sample")
 def _(s, d):
     e = signals.recency(table(s, d, "examples").select("example_id"), "example_id")

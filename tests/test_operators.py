@@ -335,3 +335,16 @@ def test_history_on_empty(spark, sf):
     c, f = (spark.read.parquet(f"{sf}/{n}.parquet").limit(0) for n in ("commits", "file_diffs"))
     assert history.repository_stats(c, f).first()["merge_rate"] == 0.0
     assert history.author_stats(c, f).count() == 0 and history.neighbours(c.select("hash", "commit_timestamp")).count() == 0
+
+
+def test_orders_and_upsampling_of_any_size(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(i,) for i in range(1200)], "doc_id bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, [5, 5]), (2, [1, 2, 3, 4]), (3, None), (4, [1, 2]), (5, [])], "pack_id bigint, tokens array<int>").write.parquet(f"{tmp_path}/packed_sequences.parquet")
+    spark.createDataFrame([("a", 1, 0.5), ("b", 1, None), ("c", 1, 0.1)], "hash string, scraped_at int, complexity_score double").write.parquet(f"{tmp_path}/commits.parquet")
+    q = entry.queries()
+    rows = lambda name: q[name](spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in rows("smp_x4_upsample_tenth")) == 1320
+    assert [r["pack_id"] for r in sorted(rows("srt_t5_entropy_order"), key=lambda r: r["place"])] == [2, 4, 1, 5]
+    assert [r["hash"] for r in sorted(rows("srt_t2_complexity_order"), key=lambda r: r["place"])] == ["b", "c", "a"]
