@@ -6,9 +6,10 @@ become constant maps after one symbol of lookbehind (and one of lookahead for wh
 associative scan over transition functions collapses into a single composition step: the table
 ``_START[previous, current, next]`` says whether a token starts at a position.  The only
 exception, the English contractions, starts at an apostrophe that starts a token and is settled on
-those few positions.  The resulting byte slices are hashed in bulk with a prefix polynomial, made
-distinct, and only slices never seen by the worker go through pair merging; ids are then
-gathered for all slices at once and handed to Arrow as offsets and values.
+those few positions.  Slices of up to seven bytes are made distinct in bulk by a number that holds their
+bytes and length, longer ones by their bytes themselves, so no two different slices are ever taken for one.
+Only slices the worker does not hold go through pair merging; ids are then gathered for all slices at
+once and handed to Arrow as offsets and values.  What a worker holds is bounded by ``CACHE_BYTES``.
 
 Defined results: null and empty texts give an empty list; strings that look like special tokens are
 ordinary text; texts of any length are encoded whole (cut internally only where the pattern always
@@ -39,8 +40,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 _LETTER, _NUMBER, _OTHER, _APOS, _SPACE, _WHITE, _END = range(7)
 #: Codepoints per vectorised block; bounds the working memory of a worker.
 BLOCK = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+#: Bytes of slices and ids that a worker keeps, about; beyond it, it starts anew with the next block.  Results do not depend on it.
+CACHE_BYTES = 64 << 20
 _LONG = 96
+#: Slices of up to so many bytes fit into one number with their length.
+_SHORT = 7
 
 
 def _starts(prev: int, cur: int, nxt: int) -> bool:
@@ -136,18 +140,19 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     """Encoder of one worker; keeps the ids of every distinct slice it has merged."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         self.ranks = load_ranks(path)
         self.cls, self.start = _tables()
-        self.known: dict[int, int] = {}
+        self.limit = cache_bytes
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[int | bytes, int] = {}  # by the bytes of a slice, as a number if it is short
         self.first: list[int] = []  # of each known slice: place in pool, and number of ids
         self.count: list[int] = []
         self.pool: list[int] = []
+        self.held = 0
         self._np: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
-        self._power = np.ones(1, np.uint64)
-        self._inverse = np.ones(1, np.uint64)
-        rng = np.random.default_rng(20260501)
-        self._byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 
     def boundaries(self, cps: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Positions in ``cps`` where tokens start; ``ends``: the exclusive end of each text, ascending."""
@@ -175,27 +180,34 @@ class Encoder:
                 flag[after[letter]] = True
         return np.flatnonzero(flag)
 
-    def _powers(self, n: int) -> None:
-        if len(self._power) < n:
-            with np.errstate(over="ignore"):
-                m = max(n, 2 * len(self._power))
-                inv = np.uint64(pow(int(_BASE), -1, 1 << 64))
-                self._power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(m, _BASE))])
-                self._inverse = np.concatenate([[np.uint64(1)], np.cumprod(np.full(m, inv))])
-
-    def _lookup(self, keys: np.ndarray, raw: bytes, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Index into first/count of each distinct key, merging slices not met before."""
-        known, out = self.known, np.empty(len(keys), np.int64)
-        for i, k in enumerate(keys.tolist()):
-            at = known.get(k)
-            if at is None:
-                ids = merge_piece(raw[lo[i] : hi[i]], self.ranks)
-                at = known[k] = len(self.first)
-                self.first.append(len(self.pool))
-                self.count.append(len(ids))
-                self.pool.extend(ids)
-                self._np = None
-            out[i] = at
+    def _slot(self, key: int | bytes, piece: bytes) -> int:
+        """Index into first/count of a slice, merging it if it is not held."""
+        at = self.known.get(key)
+        if at is None:
+            ids = merge_piece(piece, self.ranks)
+            at = self.known[key] = len(self.first)
+            self.first.append(len(self.pool))
+            self.count.append(len(ids))
+            self.pool.extend(ids)
+            self.held += 200 + len(piece) + 36 * len(ids)
+            self._np = None
+        return at
+
+    def _slots(self, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Index into first/count of every slice."""
+        if self.held > self.limit:
+            self._clear()
+        size = stops - starts
+        out = np.empty(len(starts), np.int64)
+        short = size <= _SHORT
+        at, n = starts[short], size[short].astype(np.uint64)
+        words = np.ndarray((len(raw),), "<u8", raw + bytes(8), strides=(1,))[at]
+        bits = np.uint64(8) * n
+        key = (words & ((np.uint64(1) << bits) - np.uint64(1))) | (n << np.uint64(56))
+        codes, distinct = pd.factorize(key)
+        slots = np.array([self._slot(k, (k & (1 << 56) - 1).to_bytes(8, "little")[: k >> 56]) for k in distinct.tolist()], np.int64)
+        out[short] = slots[codes]
+        out[~short] = [self._slot(piece, piece) for piece in (raw[a:b] for a, b in zip(starts[~short].tolist(), stops[~short].tolist()))]
         return out
 
     def _arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -217,17 +229,7 @@ class Encoder:
             lead = np.flatnonzero((data & 0xC0) != 0x80)
             starts = lead[self.boundaries(cps, np.unique(np.searchsorted(lead, ends[ends > 0])))]
         stops = np.append(starts[1:], len(data))
-        self._powers(len(data) + 1)
-        with np.errstate(over="ignore"):
-            prefix = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(self._byte[data] * self._power[: len(data)], out=prefix[1:])
-            key = (prefix[stops] - prefix[starts]) * self._inverse[starts]
-            key ^= key >> np.uint64(29)
-            key = key * np.uint64(0xBF58476D1CE4E5B9) + (stops - starts).astype(np.uint64)
-        codes, _ = pd.factorize(key)
-        example = np.full(codes.max() + 1, -1, np.int64)
-        example[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        slot = self._lookup(key[example], raw, starts[example], stops[example])[codes]
+        slot = self._slots(raw, starts, stops)
         first, count, pool = self._arrays()
         n = count[slot]
         total = np.cumsum(n)

@@ -457,6 +457,22 @@ def test_encoder_equals_library(reference_encoding):
     assert all(tokenizer.decode(ids) == (t or "") for t, ids in zip(texts, got))
 
 
+def test_slices_are_told_apart_by_their_bytes(reference_encoding):
+    """Words of two letters with long runs of equal sums, which polynomial hashes modulo 2^64 confuse, and bounded memory."""
+    word, swap = "a", str.maketrans("ab", "ba")
+    texts = []
+    while len(word) < 4096:
+        word += word.translate(swap)
+        texts += [word, word.translate(swap), f"{word} {word.translate(swap)}", f"{word.translate(swap)} {word}\n"]
+    texts += ["a\0", "a", "a\0\0", " a", "abcdefg", "abcdefgh", "\0" * 7, "\0" * 8, "é" * 3 + "a", "é" * 4] * 2
+    want = [reference_encoding.encode_ordinary(t) for t in texts]
+    assert tokenizer.Encoder(tokenizer.vocabulary_path()).encode_batch(pa.array(texts)).to_pylist() == want
+    small = tokenizer.Encoder(tokenizer.vocabulary_path(), 2_000)
+    for _ in range(3):
+        assert [small.encode_batch(pa.array([t])).to_pylist()[0] for t in texts] == want
+    assert small.held < 100_000
+
+
 def test_long_text_is_cut_safely(reference_encoding, monkeypatch):
     monkeypatch.setattr(tokenizer, "BLOCK", 1000)
     text = "It's a test, 12 items  and\n\nmore. " * 200 + "x" * 3000
