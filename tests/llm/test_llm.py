@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,32 @@ def test_pack(spark):
     assert packing.pack(df.limit(0), budgets).count() == 0
 
 
+def test_containers_do_not_depend_on_partitions(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.randrange(1, 90_000) for _ in range(rng.choice([3, 3, 4, 7, 30]))]) for i in range(120)] + [(500, [7] * 5), (500, [7] * 5), (501, [7] * 5), (None, [-1, 2])]
+    df = spark.createDataFrame(rows, "pack_id bigint, tokens array<int>")
+    budgets = spark.createDataFrame([(1, 16, 99, 0), (2, 20, 98, 5)], "budget_id int, capacity int, eos_id int, pad_id int")
+    seen = [sorted((tuple(r[:2]), tuple(r["tokens"]), tuple(r["item_ids"]), tuple(r["pieces"])) for r in packing.pack(df.repartition(n), budgets).collect()) for n in (1, 7, 64)]
+    assert seen[0] == seen[1] == seen[2]
+    by = {i: t for i, t in rows}
+    for (budget, _), tokens, ids, pieces in seen[0]:
+        cap, eos = {1: (16, 99), 2: (20, 98)}[budget]
+        parts = [x for i, k in zip(ids, pieces) for x in (*by[i][k * cap : (k + 1) * cap], eos)][:-1]
+        assert list(tokens) == parts + [0 if budget == 1 else 5] * (cap - len(parts))
+    rep = {r["budget_id"]: r for r in packing.packing_report(df, budgets).collect()}
+    assert all(0 < r["least_containers"] <= r["containers"] for r in rep.values())
+
+
+def test_places_of_very_long_items():
+    """Lengths and ranks whose product does not fit into 64 bits."""
+    plan = packing.best_fit({3_000_000: 5_000_000, 2_200_000: 7, 4: 3}, 6_000_002)
+    at = packing.Places(plan)
+    c, p = at(np.array([3_000_000, 3_000_000, 2_200_000, 4]), np.array([0, 4_999_999, 6, 2]))
+    assert c.tolist()[:2] == [0, 2_499_999] and p.tolist()[:2] == [0, 1] and c[2] >= 2_500_000
+    one = packing.Places([(1 << 40, 0, 1 << 33, 0, 1, 0)])
+    assert one(np.array([1 << 40]), np.array([(1 << 33) - 1]))[0].tolist() == [(1 << 33) - 1]
+
+
 def test_ranks_in_groups(spark, monkeypatch):
     df = spark.createDataFrame([(i, [1] * (3 + i % 4)) for i in range(200)], "pack_id bigint, tokens array<int>")
     budgets = spark.createDataFrame([(1, 16, 99, 0)], "budget_id int, capacity int, eos_id int, pad_id int")
