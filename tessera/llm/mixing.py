@@ -7,13 +7,14 @@ highest quotients.  A source's blocks are apportioned to its shards the same way
 used as often as the quota holds the whole shard, and seeded blocks are used once more for the rest.
 
 Defined results: weights need not add up to 1; null or negative weights count as 0, null repeats as 1; sources without tokens get
-nothing and their share is reported as 0; records of unlisted or null sources and records without tokens are not drawn;
+nothing and their share is reported as 0; a source below one block counts as one block, of which it gives what it has; records of unlisted or null sources and records without tokens are not drawn;
 rows are drawn row by row, so repeated rows count each; a source listed twice has the sum of its weights and the larger cap.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -25,19 +26,39 @@ from tessera.operators.stats import rate
 from tessera.session import cut
 
 BLOCK_TOKENS = 2_048
-#: Blocks of the whole mix at most; the block grows with the total beyond.
-MOST_BLOCKS = 200_000
-SHARD_TOKENS = 20_000_000
-MOST_SHARDS = 10_000
+#: Tokens of a shard, about: the driver holds one number per shard, a task sorts the keys of one shard's records.
+SHARD_TOKENS = 100_000_000
 SEED = 13
 
 
 def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None) -> list[int]:
-    """Seats by the highest quotients weight / (2 s + 1), each party up to its cap; ties go to the earlier one."""
-    got = [0] * len(weights)
+    """Seats by the highest quotients weight / (2 s + 1), each party up to its cap; ties go to the earlier one.
+
+    All seats above a quotient are given at once, the quotient being found by bisection; only the last ones are
+    given singly.  So the time does not depend on the number of seats.
+    """
     caps = caps or [seats] * len(weights)
     exact = [Fraction(w) for w in weights]
-    heap = [(-w, i) for i, w in enumerate(exact) if w > 0 and caps[i] > 0]
+
+    def above(q: Fraction) -> list[int]:
+        return [min(c, max(0, math.ceil((w / q - 1) / 2))) for w, c in zip(exact, caps)]
+
+    got, open_ = [0] * len(weights), [i for i, w in enumerate(exact) if w > 0 and caps[i] > 0]
+    if open_:
+        lo, hi = min(exact[i] for i in open_) / (2 * max(seats, 1) + 1) / 2, max(exact)
+        if sum(above(lo)) <= seats:
+            got = above(lo)
+        else:
+            while seats - sum(got) > len(open_) and hi - lo > hi / (1 << 80):
+                mid = Fraction((lo + hi) / 2).limit_denominator(1 << 120)
+                mid = mid if lo < mid < hi else (lo + hi) / 2
+                trial = above(mid)
+                if sum(trial) <= seats:
+                    hi, got = mid, trial
+                else:
+                    lo = mid
+    seats -= sum(got)
+    heap = [(-exact[i] / (2 * got[i] + 1), i) for i in open_ if got[i] < caps[i]]
     heapq.heapify(heap)
     while seats and heap:
         _, i = heapq.heappop(heap)
@@ -48,6 +69,12 @@ def sainte_lague(weights: list[float], seats: int, caps: list[int] | None = None
     return got
 
 
+def quotas(weights: list[float], tokens: list[int], most: list[int], total: int, block: int) -> list[int]:
+    """Tokens to draw from each source: whole blocks, but for the last of a source that is drawn as often as allowed."""
+    seats = sainte_lague([w if t else 0.0 for w, t in zip(weights, tokens)], total // block, [-(-t * m // block) for t, m in zip(tokens, most)])
+    return [min(s * block, t * m) for s, t, m in zip(seats, tokens, most)]
+
+
 def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED, block_tokens: int = BLOCK_TOKENS, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, source, n_tokens, copies) of every record drawn."""
     spark = docs.sparkSession
@@ -59,22 +86,20 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, se
     weights, most = [r["w"] for r in plan], [r["most"] for r in plan]
     tokens = [have.get(r["source"], 0) for r in plan]
     total = total_tokens if total_tokens is not None else sum(tokens)
-    block = max(block_tokens, -(-total // MOST_BLOCKS))
-    seats = sainte_lague([w if t else 0.0 for w, t in zip(weights, tokens)], total // block, [t * m // block for t, m in zip(tokens, most)])
-    size = max(SHARD_TOKENS, -(-sum(tokens) // MOST_SHARDS))
-    shards = [max(1, -(-t // size)) for t in tokens]
+    block = block_tokens
+    wanted = quotas(weights, tokens, most, total, block)
+    shards = [max(1, -(-t // SHARD_TOKENS)) for t in tokens]
     known = F.create_map(*(x for r, n in zip(plan, shards) for x in (F.lit(r["source"]), F.lit(n)))) if plan else None
     if known is None:
         return sized.limit(0).withColumn("copies", F.lit(0))
     key = F.xxhash64(F.lit(seed), "doc_id", "n_tokens")
     dealt = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), known[F.col("source")]).cast("int")).withColumn("key", key)
-    loads = {(r["source"], r["shard"]): r["t"] for r in dealt.groupBy("source", "shard").agg(F.sum("n_tokens").alias("t")).collect()}  # at most MOST_SHARDS rows and one per source
-    quotas = []
-    for r, n, s, m in zip(plan, shards, seats, most):
+    loads = {(r["source"], r["shard"]): r["t"] for r in dealt.groupBy("source", "shard").agg(F.sum("n_tokens").alias("t")).collect()}  # one row per source and SHARD_TOKENS
+    parts = []
+    for r, n, q, m in zip(plan, shards, wanted, most):
         load = [loads.get((r["source"], k), 0) for k in range(n)]
-        mine = sainte_lague([float(x) for x in load], s, [x * m // block + 1 for x in load])
-        quotas += [(r["source"], k, min(q * block, x * m), x) for k, (q, x) in enumerate(zip(mine, load)) if q and x]
-    quota = spark.createDataFrame(quotas, "source string, shard int, quota bigint, load bigint")
+        parts += [(r["source"], k, x, y) for k, (x, y) in enumerate(zip(quotas(load, load, [m] * n, q + block - 1, block), load)) if x and y]
+    quota = spark.createDataFrame(parts, "source string, shard int, quota bigint, load bigint")
     held = dealt.join(F.broadcast(quota), ["source", "shard"]).withColumn("full", F.floor(F.col("quota") / F.col("load"))).withColumn("rest", F.col("quota") % F.col("load"))
     start = F.sum("n_tokens").over(W.partitionBy("source", "shard").orderBy("key", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, 0)) - F.col("n_tokens")
     cutting = cut(held.withColumn("block", F.floor(start / F.lit(block))))
@@ -88,11 +113,12 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, se
 
 
 def mix_report(docs: DataFrame, targets: DataFrame, **options) -> DataFrame:
-    """Per listed source: share wanted, tokens drawn and their share, records drawn and their most copies, cap."""
+    """Per listed source: share wanted, tokens drawn, their share and how far it is off, records drawn and their most copies, cap."""
     drawn = mix(docs, targets, **options).groupBy("source").agg(F.sum(F.col("n_tokens").cast("bigint") * F.col("copies")).alias("tokens"), F.count("*").alias("records"), F.max("copies").alias("most_copies"))
     want = targets.where("source is not null").groupBy("source").agg(F.sum(F.greatest(F.coalesce("target_weight", F.lit(0.0)), F.lit(0.0))).alias("w"), F.max("max_repeats").alias("max_repeats"))
     every = W.partitionBy()  # over the listed sources only
-    return want.join(drawn, "source", "left").select(
+    report = want.join(drawn, "source", "left").select(
         "source", rate(F.col("w"), F.sum("w").over(every)).alias("target_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
         rate(F.coalesce("tokens", F.lit(0)), F.sum(F.coalesce("tokens", F.lit(0))).over(every)).alias("share"), F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "max_repeats",
     )
+    return report.withColumn("off", F.col("share") - F.col("target_share"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -525,6 +526,33 @@ def test_sainte_lague():
     assert mixing.sainte_lague([], 5) == [] and mixing.sainte_lague([1.0], 5, [3]) == [3]
 
 
+def test_seats_are_those_of_the_highest_quotients():
+    rng = random.Random(1)
+    for _ in range(300):
+        n = rng.randint(1, 7)
+        w, caps, seats = [rng.choice([0.0, 1.0, 3.0, rng.random()]) for _ in range(n)], [rng.choice([0, 1, 5, rng.randint(0, 200)]) for _ in range(n)], rng.randint(0, 300)
+        got = mixing.sainte_lague(w, seats, caps)
+        every = sorted(((-Fraction(x) / (2 * k + 1), i) for i, (x, c) in enumerate(zip(w, caps)) if x for k in range(c)))[:seats]
+        assert got == [sum(i == j for _, j in every) for i in range(n)]
+
+
+def test_quotas_of_a_very_large_mix():
+    """25 T tokens in blocks of the usual size: small sources get their share, the smallest all they have."""
+    have, most = [20 * 10**12, 5 * 10**12, 10**8, 1500, 10**9], [1, 2, 4, 4, 1]
+    got = mixing.quotas([0.5, 0.3, 1e-6, 0.1, 0.2], have, most, 25 * 10**12, 2048)
+    assert got[3] == 6000 and got[4] == 10**9 and sum(got) <= 25 * 10**12
+    assert abs(got[0] / got[1] - 5 / 3) < 1e-6 and abs(got[2] / got[0] - 2e-6) < 1e-9
+
+
+def test_sources_below_a_block_are_drawn(spark):
+    df = spark.createDataFrame([(i, "big", "w " * 50) for i in range(400)] + [(1000 + i, "tiny", "w " * 20) for i in range(4)], "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("big", 0.9, 1), ("tiny", 0.3, 2)], "source string, target_weight double, max_repeats int")
+    got = {r["doc_id"]: r["copies"] for r in mixing.mix(df, targets).collect()}
+    assert all(got[1000 + i] == 2 for i in range(4))
+    rep = {r["source"]: r for r in mixing.mix_report(df, targets).collect()}
+    assert abs(rep["tiny"]["off"] - (rep["tiny"]["share"] - 0.25)) < 1e-9
+
+
 def test_mix(spark):
     rng = random.Random(6)
     docs = [(i, rng.choice(["a", "a", "a", "b", "c", None, "unlisted"]), " ".join("w" for _ in range(rng.randrange(1, 60)))) for i in range(3000)] + [(9001, "a", None), (9002, "a", "")]
