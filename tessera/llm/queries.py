@@ -91,6 +91,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return names.same_person_pairs(_table(spark, d, "authors"))
 
 
+@_query
+def p7_members(spark: SparkSession, d: str) -> DataFrame:
+    return names.members(_table(spark, d, "authors"))
+
+
 @_query
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return names.person_report(_table(spark, d, "authors"))

@@ -491,10 +491,71 @@ def test_same_person(spark):
         (None, "Robert Halvorsen", None), (1, "Robert Halvorsen", "robert.halvorsen@acme.example"),
     ]
     df = spark.createDataFrame(rows, "author_id bigint, author_name string, author_email string").withColumn("name", F.lit("x")).withColumn("word", F.lit("y"))
-    got = {tuple(r) for r in names.same_person_pairs(df).collect()}
+    short = spark.createDataFrame([("Bob", "Robert"), ("bob", "robert"), (None, "x")], "nick string, stands_for string")
+    got = {tuple(r) for r in names.same_person_pairs(df, short).collect()}
     bob = [1, 2, 3, 4, 5, 6, 13]
     assert got == {(a, b) for a in bob for b in bob if a < b} | {(7, 8)}
+    without = {tuple(r) for r in names.same_person_pairs(df).collect()}
+    assert without == {(a, b) for a, b in got if 2 not in (a, b)}
     assert names.same_person_pairs(df.limit(0)).count() == 0
+    who = {r["author_id"]: (r["person_id"], r["n_spellings"]) for r in names.members(df, short).collect()}
+    assert {who[i] for i in bob} == {(1, 7)} and who[7] == who[8] == (7, 2) and who[11] == (11, 1) and len(who) == 13
+    assert names.members(df.limit(0)).count() == 0
+
+
+AUTHORS = "author_id bigint, author_name string, author_email string"
+
+
+def test_nicknames_are_learned(spark):
+    rows = [(i, shown, f"margarethe.{last}@acme.example") for i, (shown, last) in enumerate([("Gitte Sommer", "sommer"), ("Winterr, Gitte", "winter"), ("Gitte", "herbst"), ("Gitte Linden", "linden")])]
+    rows += [(10, "Gitte Kaiser", None), (11, "Margarethe Kaiser", "margarethe.kaiser@acme.example"), (12, "Gitte Unbekannt", None), (13, "falcon", "ada.sommer@acme.example")]
+    got = {tuple(r) for r in names.same_person_pairs(spark.createDataFrame(rows, AUTHORS)).collect()}
+    assert got == {(10, 11)}
+    fewer = {tuple(r) for r in names.same_person_pairs(spark.createDataFrame(rows[2:], AUTHORS)).collect()}
+    assert fewer == set()
+
+
+def test_names_in_any_script(spark):
+    rows = [
+        (1, "Иван Петров", None), (2, "петров, Иван", ""), (3, "Иван Петрова", None), (4, "李小龙", None), (5, "李 小龙", None), (6, "李小明", None), (7, "Αλέξης Παπαδόπουλος", None), (8, "αλεξης παπαδοπουλος", None), (9, "山田 太郎", None), (10, "山田太郎", None),
+        (11, "김민수", None), (12, "김 민수", None), (13, "محمد علي", None), (14, "علي محمد", None), (15, "D’Arcy O'Neil", None), (16, "d'arcy oneil", None), (17, "Jos\u0065\u0301 Núñez", None), (18, "José Nunez", None),
+    ]
+    got = {tuple(r) for r in names.same_person_pairs(spark.createDataFrame(rows, AUTHORS)).collect()}
+    assert got == {(1, 2), (4, 5), (7, 8), (9, 10), (11, 12), (13, 14), (17, 18)}
+
+
+def test_both_parts_misspelt(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(3, 6)))
+
+    def typo(w):
+        i, k = rng.randrange(len(w)), rng.randrange(4)
+        return w[:i] + "x" + w[i:] if k == 0 else w[:i] + w[i + 1 :] if k == 1 else w[:i] + "x" + w[i + 1 :] if k == 2 or i + 1 == len(w) else w[:i] + w[i + 1] + w[i] + w[i + 2 :]
+
+    people = [(word(), word()) for _ in range(150)]
+    rows = [(i, None, f"{a}.{b}@acme.example") for i, (a, b) in enumerate(people)]
+    rows += [(1000 + i, f"{typo(b)}, {typo(a)}" if i % 2 else f"{typo(a)} {typo(b)}", None) for i, (a, b) in enumerate(people)]
+    got = {tuple(r) for r in names.same_person_pairs(spark.createDataFrame(rows, AUTHORS)).collect()}
+    assert got == {(i, 1000 + i) for i in range(150)}
+
+
+def test_pieces_meet_all_single_errors():
+    rng = random.Random(3)
+    for _ in range(2000):
+        w = "".join(rng.choice("abc") for _ in range(rng.randrange(5, 10)))
+        i = rng.randrange(len(w))
+        near = [w[:i] + "x" + w[i:], w[:i] + w[i + 1 :], w[:i] + "x" + w[i + 1 :], w + "x"] + ([w[:i] + w[i + 1] + w[i] + w[i + 2 :]] if i + 1 < len(w) else [])
+        assert all(set(names.pieces(w, True)) & set(names.pieces(q, False)) for q in [w, *near])
+
+
+def test_large_persons_and_buckets_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(names, "PAIRED_ROWS", 7)
+    monkeypatch.setattr(names, "TRIE_NAMES", 5)
+    monkeypatch.setattr(names, "ASKED_NAMES", 4)
+    rows = [(i, "Ada Lovelace", None) for i in range(60)] + [(100 + i, None, f"ada.{c}{d}mmerling@x.example") for i, (c, d) in enumerate((c, d) for c in "bcdfgh" for d in "aeiou")]
+    rows += [(200 + i, f"Ada {c}{d}mmerlingg", None) for i, (c, d) in enumerate((c, d) for c in "bcdfgh" for d in "aeiou")]
+    got = {tuple(r) for r in names.same_person_pairs(spark.createDataFrame(rows, AUTHORS)).collect()}
+    assert got == {(a, b) for a in range(60) for b in range(a + 1, 60)} | {(100 + i, 200 + i) for i in range(30)}
 
 
 # ---- 8 ----
