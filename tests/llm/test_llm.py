@@ -674,18 +674,35 @@ def test_mix(spark):
 def test_spam_held_out():
     r, m = random.Random(77), spam_pages.trained()
     ok = n = 0
-    for _ in range(300):
+    for _ in range(400):
         page = spam_pages.generated_page(r)
         words = Counter()
         for line, s in page:
-            for p in spam_pages.pieces(line):
-                words[s >= 2] += spam_pages.symbol(p)[1]
-        total, by = spam_pages.shares("\n".join(x for x, _ in page), m)
+            words[s >= 2] += max(1, len(line.split()))
+        total = sum(words.values())
         if total < 20 or 0.35 < words[True] / total < 0.65:
             continue
         n += 1
-        ok += (sum(by.get(k, 0) for k in ("link list", "tag list", "menu")) > spam_pages.SHARE * total) == (words[True] > words[False])
-    assert ok / n > 0.97
+        ok += spam_pages.flagged(*spam_pages.shares("\n".join(x for x, _ in page), m)) == (words[True] > words[False])
+    assert ok / n > 0.95
+
+
+VERSE = "Litwo! Ojczyzno moja! ty jesteś jak zdrowie\nIle cię trzeba cenić, ten tylko się dowie\nKto cię stracił. Dziś piękność twą w całej ozdobie\nWidzę i opisuję, bo tęsknię po tobie\nPanno święta, co jasnej bronisz Częstochowy\nI w Ostrej świecisz Bramie! Ty, co gród zamkowy\nNowogródzki ochraniasz z jego wiernym ludem!"
+HONEST = [
+    "春眠不觉晓，\n处处闻啼鸟。\n夜来风雨声，\n花落知多少。\n白日依山尽，\n黄河入海流。\n欲穷千里目，\n更上一层楼。", "中国是世界上历史最悠久的国家之一，中国各族人民共同创造了光辉灿烂的文化，具有光荣的革命传统。我们今天在这里讨论的是一个很重要的问题。", VERSE,
+    "Shall I compare thee to a summer's day\nThou art more lovely and more temperate\nRough winds do shake the darling buds of May\nAnd summer's lease hath all too short a date\nSometime too hot the eye of heaven shines\nAnd often is his gold complexion dimm'd", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης.",
+    "Pancakes\n\n200 g flour\n2 eggs\n300 ml milk\n1 pinch of salt\n\nMix the flour and the milk.\nAdd the eggs and whisk until smooth.\nFry in a hot pan for two minutes on each side.", "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。\n人間は、理性と良心とを授けられており、\n互いに同胞の精神をもって行動しなければならない。",
+]
+STUFFED = [
+    "Buy cheap shoes because cheap shoes are the best cheap shoes for everyone who wants cheap shoes. " * 6, "Our plumber in Leeds is the best plumber in Leeds.\nIf you need a plumber in Leeds, call the plumber in Leeds that people in Leeds call.\nNo plumber in Leeds beats this plumber in Leeds!\nThe plumber in Leeds for you.",
+    "便宜鞋子、鞋子批发、便宜鞋子网、鞋子专卖、便宜鞋子店、鞋子商城、便宜鞋子代购、鞋子特价", "Home\nShop\nDeals\nNew In\nWomen\nMen\nKids\nSale\nBrands\nGift Cards\nStores\nHelp", "tanie buty, buty sklep, tanie buty online, buty damskie, buty tanio, sklep z butami, buty promocja, tanie buty damskie",
+]
+
+
+def test_pages_of_other_languages_and_stuffed_sentences():
+    m = spam_pages.trained()
+    assert [spam_pages.flagged(*x) for x in spam_pages.all_shares(HONEST, m)] == [False] * len(HONEST)
+    assert [spam_pages.flagged(*x) for x in spam_pages.all_shares(STUFFED, m)] == [True] * len(STUFFED)
 
 
 PAGES = [
@@ -698,8 +715,7 @@ PAGES = [
 
 @pytest.mark.parametrize("text,want", PAGES)
 def test_pages_by_hand(spark, text, want):
-    total, by = spam_pages.shares(text, spam_pages.trained())
-    assert (total >= spam_pages.LEAST_WORDS and sum(by.get(k, 0) for k in ("link list", "tag list", "menu")) > spam_pages.SHARE * total) == want
+    assert spam_pages.flagged(*spam_pages.shares(text, spam_pages.trained())) == want
 
 
 def test_stuffed_pages(spark):
@@ -710,7 +726,7 @@ def test_stuffed_pages(spark):
 
 
 def test_every_page_is_decoded(spark):
-    said = "\n".join(f"We moved the parser of part {i} before the lexer so that it can see all of the tokens first." for i in range(12))
+    said = "\n".join(f"We moved the {x} of part {i} before the {y} so that it can see {z} first." for i, (x, y, z) in enumerate((x, y, z) for x in ("parser", "index") for y in ("lexer", "loader") for z in ("all tokens", "each name", "the rest")))
     page = said + "\n" + "\n".join(f"- [linter {i}](https://a.example/{i})" for i in range(14)) + "\n" + said
     df = spark.createDataFrame([(1, page, "s"), (2, "def f(x):\n    return g(x) == {1: 2}\n" * 9, "s"), (3, None, "s"), (4, " \n", "s")], "doc_id bigint, text string, source string")
     got = {r["doc_id"]: r for r in spam_pages.labelled_pages(df).collect()}
@@ -718,13 +734,35 @@ def test_every_page_is_decoded(spark):
     assert set(spam_pages.shares("def f(x):\n    return g(x) == {1: 2}\n" * 9, spam_pages.trained())[1]) == {"structure"}
 
 
-def test_pages_decoded_together_as_alone(monkeypatch):
-    r, m = random.Random(3), spam_pages.trained()
-    pages = [[r.randrange(len(spam_pages.SYMBOLS)) for _ in range(r.choice([0, 1, 2, 9, 40, 130]))] for _ in range(200)]
-    want = [m.viterbi(p) if p else [] for p in pages]
-    assert m.decode(pages) == want
-    monkeypatch.setattr(spam_pages, "TOGETHER", 20)
-    assert m.decode(pages) == want and m.decode([]) == []
+def test_pages_decoded_together_as_alone():
+    rng, m = np.random.default_rng(3), spam_pages.trained()
+    sizes = rng.choice([0, 1, 2, 9, 40, 130], 200)
+    scores = rng.normal(size=(int(sizes.sum()), len(spam_pages.STATES))) * 3
+    want = []
+    for x in np.split(scores, np.cumsum(sizes)[:-1]):
+        best, back = None, []
+        for row in x:
+            reach = best[:, None] + m.moves if best is not None else None
+            back.append(reach.argmax(0) if reach is not None else None)
+            best = (m.start if reach is None else reach.max(0)) + row
+        if len(x):
+            y = [int(best.argmax())]
+            for came in reversed(back[1:]):
+                y.append(int(came[y[-1]]))
+            want += y[::-1]
+    assert m.decode(scores, sizes).tolist() == want and len(m.decode(scores[:0], sizes[:0])) == 0
+
+
+def test_pages_labelled_alike_in_any_company(monkeypatch):
+    r, m = random.Random(9), spam_pages.trained()
+    pages = ["\n".join(x for x, _ in spam_pages.generated_page(r)) for _ in range(60)] + [None, "", " \r\n\t", "'", "://", "<a", "x" * 3000, "ab " * 3000, "\u2028#\u00a0", "a\rb\rc"]
+    together = list(spam_pages.all_shares(pages, m))
+    assert together == [spam_pages.shares(p, m) for p in pages]
+    monkeypatch.setattr(spam_pages, "BLOCK", 500)
+    assert list(spam_pages.all_shares(pages, m)) == together
+    long = "\n".join(f"https://www.a{i}.example/x" for i in range(400))
+    monkeypatch.setattr(spam_pages, "PART", 1000)
+    assert spam_pages.shares(long, m) == (400, {"link list": 400}) and spam_pages.flagged(*spam_pages.shares("y" * 5000 + " z" * 5000, m)) in (True, False)
 
 
 # ---- queries ----
