@@ -445,6 +445,44 @@ def test_truncation(spark):
     assert truncation.truncated_values(df.limit(0)).count() == 0
 
 
+CHUNKS = "chunk_id string, origin string, old_code string, new_code string, patch string"
+
+
+def test_two_limits_of_one_field(spark):
+    """A limit that was raised: 300 characters before, 900 after; no patch to compare with."""
+    rng, rows, cut = random.Random(5), [], set()
+    for i in range(500):
+        code = "\n".join(f"let value_{rng.randrange(99999)} = call({rng.randrange(99999)});" for _ in range(rng.choice([1, 2, 4, 12, 40])))
+        limit = 300 if i < 250 else 900
+        if len(code) > limit:
+            cut.add(str(i))
+        rows.append((str(i), "moved", None, code[:limit], None))
+    df = spark.createDataFrame(rows, CHUNKS)
+    limits = truncation.storage_limits(truncation.facts(df)).first()["limits"]
+    assert sorted((x["encoding"], x["limit"]) for x in limits) == [("chars", 300), ("chars", 900)]
+    assert {r["chunk_id"] for r in truncation.truncated_values(df).collect()} == cut
+    rep = truncation.truncation_report(df).first()
+    assert rep["n_limits"] == 2 and rep["storage_limit"] == 900 and rep["n_truncated"] == rep["n_at_limit"] == len(cut)
+
+
+def test_endings_without_a_counterpart(spark):
+    """What proven values say about endings decides on values that have no patch."""
+    rng, rows = random.Random(6), []
+    for i in range(300):
+        lines = [f"import {rng.choice(['numbers', 'letters', 'shapes'])}", f"offset_{i % 5} = {i}", f"value = compute({rng.randrange(999)})", f"return value + offset_{rng.randrange(5)}"]
+        new = "\n".join(lines)
+        patch = "@@ -1,0 +1,4 @@\n" + "\n".join("+" + x for x in lines)
+        rows.append((f"p{i}", "lossy", None, new[: rng.randrange(20, len(new) - 3)] if i % 3 == 0 else new, patch))
+    rows += [("a", "lossy", None, "value = compute(3)\nreturn value + offs", None), ("b", "lossy", None, "value = compute(3)\nreturn value + offset_2", None), ("c", "lossy", None, "import numb", None), ("e", "new", None, "x", None)]
+    got = {r["chunk_id"]: r["ending"] for r in truncation.verdicts(spark.createDataFrame(rows, CHUNKS)).where("truncated").where("chunk_id in ('a', 'b', 'c', 'e')").collect()}
+    assert got == {"a": "beginning of a word", "c": "beginning of a word"}
+
+
+def test_endings_are_told_apart():
+    for v, want in (("a\n", "line end"), ("f(x)", "closing"), ("f(x", "word"), ("a,", "punctuation"), ('say("he', "open string"), ('say("a") + "b', "open string"), ("'\"' + a", "word"), ('"\\"', "open string"), ("x\ufffd", "broken character")):
+        assert truncation.ending(v) == want
+
+
 def test_short_hunks_where_no_origin_is_clean(spark):
     code = "a();\nb();\nc();"
     patch = "@@ -1,0 +1,3 @@\n" + "\n".join("+" + x for x in code.split("\n"))
