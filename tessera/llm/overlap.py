@@ -6,10 +6,13 @@ passages of six tokens, any ``floor(n / 9) + 1`` contain one that is intact in t
 The rarest of its passages by a document-frequency sketch of bounded size are put into Aho-Corasick
 automata.  The automata are sharded by an anchor, the rarest token of a passage; a training text is
 cut at its own anchors and each cut is scanned by the one automaton that could match it, so all
-training texts are scanned once, whatever the number of shards.  Matches whose place and lengths
+training texts are scanned once, whatever the number of shards; cuts that hold a token no evaluation record has go nowhere.
+Shards of anchors that many training cuts have are divided: the cuts among several automata by record, of which each
+holds the passages.  Matches whose place and lengths
 allow the pair are verified by exact edit distance.  Nothing is lost: rarity only chooses passages.
 
-Exact copies are collapsed to one record of a class before the scan and expanded again at the end.
+Exact copies are collapsed to one record of a class before the scan and expanded again at the end; ``overlap_classes`` and
+``class_members`` give the same result without expanding, and the report needs no expanding either.
 
 Defined results: token 0 and null items are padding, wherever they stand; a record without tokens
 contains nothing and is in no pair; rows with null example_id or split, or another split, are no
@@ -111,6 +114,36 @@ def _order(tokens: np.ndarray) -> np.ndarray:
     return (scale << 20) | (_mix(np.arange(SKETCH)) & np.uint64(0xFFFFF)).astype(np.int64)
 
 
+def _seen(order: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether buckets hold a token of the evaluation side, by their sort keys."""
+    return order[key] >= 1 << 20
+
+
+def _splits(load: np.ndarray, shards: int) -> np.ndarray:
+    """Among how many shards the cuts of each token bucket as anchor are divided, so that none has much more than its share."""
+    return np.clip(-(-load * shards // max(1, int(load.sum()))), 1, shards).astype(np.int64)
+
+
+def _anchor_load(rows: DataFrame, order, least: int) -> np.ndarray:
+    """Tokens of the cuts of the training side by the bucket of their anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load = np.zeros(SKETCH, np.int64)
+        for big in batches:
+            for b in (big.slice(i, 2000) for i in range(0, big.num_rows, 2000)):
+                _, v, lengths = _records(b)
+                if len(v):
+                    _, _, size, anchor = _anchored(v, lengths, order.value, least)
+                    load += np.bincount(anchor % SKETCH, size, SKETCH).astype(np.int64)
+        k = np.flatnonzero(load)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(load[k])], names=["k", "c"])
+
+    got = rows.mapInArrow(run, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c")).toPandas()  # at most SKETCH rows
+    load = np.zeros(SKETCH, np.int64)
+    load[got.k.to_numpy(np.int64)] = got.c.to_numpy(np.int64)
+    return load
+
+
 def _pack(ids: np.ndarray, lengths: np.ndarray, v: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray, shard: np.ndarray, side: int, wide: bool) -> pa.RecordBatch:
     """One output row for each shard of a batch, with the pieces of all its records in one block:
     numbers of records, pieces and tokens; ids, lengths and pieces of records; starts of pieces; tokens, a 0 after each piece."""
@@ -166,7 +199,7 @@ def _gram_shards(v: np.ndarray, first: np.ndarray, size: np.ndarray, shards: int
     return out
 
 
-def _evaluation_pieces(rows: DataFrame, sketch, order, shards: int, wide: bool) -> DataFrame:
+def _evaluation_pieces(rows: DataFrame, sketch, order, splits, shards: int, wide: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rank = sketch.value, order.value
         for b in batches:
@@ -185,8 +218,9 @@ def _evaluation_pieces(rows: DataFrame, sketch, order, shards: int, wide: bool)
             row, start = row[keep], start[keep]
             first = at[row] + start
             best = np.min([(rank[v[first + d] % SKETCH] << 3) | d for d in range(WIDTH)], axis=0) if len(first) else np.zeros(0, np.int64)
-            anchor = first + (best & 7)
-            shard = (_mix(v[anchor]) % np.uint64(shards)).astype(np.int64)
+            anchor = v[first + (best & 7)]
+            copies, shard = _copied(anchor, splits.value, shards)
+            row, start = row[copies], start[copies]
             r2, s2, z2 = _short_pieces(lengths, True)
             yield _pack(
                 ids, lengths, v, np.concatenate([row, r2]), np.concatenate([start, s2]), np.concatenate([np.full(len(row), WIDTH), z2]),
@@ -196,8 +230,22 @@ def _evaluation_pieces(rows: DataFrame, sketch, order, shards: int, wide: bool)
     return rows.mapInArrow(run, _PIECES)
 
 
-def _anchored(v: np.ndarray, lengths: np.ndarray, rank: np.ndarray, shards: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(record, start, size, shard) of the cuts, at their anchors, of the records of ``least`` tokens or more."""
+def _copied(anchor: np.ndarray, splits: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, shard) of evaluation pieces: one for each shard that their anchor is divided among."""
+    n = splits[anchor % SKETCH]
+    piece = np.repeat(np.arange(len(anchor)), n)
+    return piece, ((_mix(anchor) % np.uint64(shards)).astype(np.int64)[piece] + take_ranges(np.zeros(len(n), np.int64), n)) % shards
+
+
+def _dealt(anchor: np.ndarray, ids: np.ndarray, splits: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of training pieces: one of those that their anchor is divided among, by record."""
+    j = (_mix(ids.astype(np.int64)) % splits[anchor % SKETCH].astype(np.uint64)).astype(np.int64)
+    return ((_mix(anchor) % np.uint64(shards)).astype(np.int64) + j) % shards
+
+
+def _anchored(v: np.ndarray, lengths: np.ndarray, rank: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(record, start, size, anchor) of the cuts, at their anchors, of the records of ``least`` tokens or more;
+    cuts around a token that no evaluation record has are left out."""
     at = np.cumsum(lengths) - lengths
     windows = np.where(lengths >= least, lengths - WIDTH + 1, 0)
     row = np.repeat(np.arange(len(lengths)), windows)
@@ -211,11 +259,12 @@ def _anchored(v: np.ndarray, lengths: np.ndarray, rank: np.ndarray, shards: int,
     new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     run_at = np.flatnonzero(new)
     count = np.diff(np.append(run_at, len(row)))
-    shard = (_mix(v[anchor[run_at]]) % np.uint64(shards)).astype(np.int64)
-    return row[run_at], first[run_at] - at[row[run_at]], count + WIDTH - 1, shard
+    known = _seen(rank, v[anchor[run_at]] % SKETCH)
+    run_at, count = run_at[known], count[known]
+    return row[run_at], first[run_at] - at[row[run_at]], count + WIDTH - 1, v[anchor[run_at]]
 
 
-def _training_pieces(rows: DataFrame, order, shards: int, wide: bool) -> DataFrame:
+def _training_pieces(rows: DataFrame, order, splits, shards: int, wide: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
         for big in batches:
@@ -224,7 +273,8 @@ def _training_pieces(rows: DataFrame, order, shards: int, wide: bool) -> DataFra
                 if not len(v):
                     continue
                 at = np.cumsum(lengths) - lengths
-                row, start, size, shard = _anchored(v, lengths, rank, shards, 10)
+                row, start, size, anchor = _anchored(v, lengths, rank, 10)
+                shard = _dealt(anchor, ids[row], splits.value, shards)
                 r2, s2, z2 = _short_pieces(lengths, False)
                 yield _pack(
                     ids, lengths, v, np.concatenate([row, r2]), np.concatenate([start, s2]),
@@ -379,7 +429,8 @@ class Overlap:
         shards = max(parts, -(-wanted // SHARD_PASSAGES))
         wide = top > _TOP[False]
         sk, order = sc.broadcast(sketch), sc.broadcast(_order(tokens))
-        pieces = _evaluation_pieces(self.evaluation, sk, order, shards, wide).unionAll(_training_pieces(self.training, order, shards, wide))
+        splits = sc.broadcast(_splits(_anchor_load(self.training, order, 10), shards))
+        pieces = _evaluation_pieces(self.evaluation, sk, order, splits, shards, wide).unionAll(_training_pieces(self.training, order, splits, shards, wide))
         # whole shards to partitions in turn: an automaton must meet all pieces of its shard
         n = max(parts, -(-shards // 4))
         return _matches(pieces.repartitionById(n, F.col("shard") % F.lit(n)).sortWithinPartitions("shard", "side"), wide)
@@ -434,7 +485,7 @@ def _narrow_sketch(rows: DataFrame) -> np.ndarray:
     return seen
 
 
-def _window_pieces(rows: DataFrame, order, narrow, shards: int, wide: bool, side: int) -> DataFrame:
+def _window_pieces(rows: DataFrame, order, narrow, splits, shards: int, wide: bool, side: int) -> DataFrame:
     """All windows of the records of one side: cuts at anchors, and the runs that short evaluation records need."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,7 +496,12 @@ def _window_pieces(rows: DataFrame, order, narrow, shards: int, wide: bool, side
                 if not len(v):
                     continue
                 at = np.cumsum(lengths) - lengths
-                parts = [_anchored(v, lengths, rank, shards, WIDTH if side else SHORT)]
+                row, start, size, anchor = _anchored(v, lengths, rank, WIDTH if side else SHORT)
+                if side:
+                    parts = [(row, start, size, _dealt(anchor, ids[row], splits.value, shards))]
+                else:
+                    copies, shard = _copied(anchor, splits.value, shards)
+                    parts = [(row[copies], start[copies], size[copies], shard)]
                 for s in range(1, 5):
                     if not seen[s].any():
                         continue
@@ -538,7 +594,8 @@ def coverage(examples: DataFrame) -> DataFrame:
     shards = max(parts, -(-wanted // SHARD_PASSAGES))
     wide = top >= _TOP[False]  # larger training tokens are stored as the top one, which must be no evaluation token
     order, narrow = sc.broadcast(_order(tokens)), sc.broadcast(_narrow_sketch(o.evaluation))
-    pieces = _window_pieces(o.evaluation, order, narrow, shards, wide, 0).unionAll(_window_pieces(o.training, order, narrow, shards, wide, 1))
+    splits = sc.broadcast(_splits(_anchor_load(o.training, order, WIDTH), shards))
+    pieces = _window_pieces(o.evaluation, order, narrow, splits, shards, wide, 0).unionAll(_window_pieces(o.training, order, narrow, splits, shards, wide, 1))
     n = max(parts, -(-shards // 4))
     spans = _covered(pieces.repartitionById(n, F.col("shard") % F.lit(n)).sortWithinPartitions("shard", "side"), wide)
     lists = spans.groupBy("x").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
@@ -559,10 +616,34 @@ def coverage(examples: DataFrame) -> DataFrame:
     return out.join(members, "x", "left").select(F.coalesce("example_id", "x").alias("example_id"), "intervals", "covered_tokens", "longest")
 
 
+def _sized(o: Overlap, pairs: DataFrame) -> DataFrame:
+    """(x, e, n_x, n_e): pairs between first records of classes, and how many records each class has."""
+    for side, train in (("x", False), ("e", True)):
+        n = o.copies.where(F.col("train") == train).groupBy("rep").agg(F.count("*").alias("n")).select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"))
+        pairs = pairs.join(n, side, "left").withColumn(f"n_{side}", F.coalesce(f"n_{side}", F.lit(1)))
+    return pairs
+
+
+def overlap_classes(examples: DataFrame) -> DataFrame:
+    """(evaluation_class, train_class, evaluation_records, train_records): every link between classes of equal records, a class
+    being named by its smallest example_id.  With ``class_members`` this says all that the expanded pairs say."""
+    o = Overlap(examples)
+    p = _sized(o, o.pairs(o.matches()).distinct())
+    return p.select(F.col("x").alias("evaluation_class"), F.col("e").alias("train_class"), F.col("n_x").alias("evaluation_records"), F.col("n_e").alias("train_records"))
+
+
+def class_members(examples: DataFrame) -> DataFrame:
+    """(example_id, class_id) of every record: its own id unless it repeats another of its side."""
+    o = Overlap(examples)
+    return o.base.select("example_id").distinct().join(o.copies.select("example_id", "rep").distinct(), "example_id", "left").select("example_id", F.coalesce("rep", "example_id").alias("class_id"))
+
+
 def overlap_report(examples: DataFrame) -> DataFrame:
     """Per split and source: evaluation records, those with a train partner, their share, and pairs."""
     o = Overlap(examples)
-    p = o.expand(o.pairs(o.matches())).distinct().groupBy("x").agg(F.count("*").alias("partners"))
+    p = _sized(o, o.pairs(o.matches()).distinct()).groupBy("x").agg(F.sum("n_e").alias("partners"))
+    members = o.copies.where("not train").select(F.col("rep").alias("x"), "example_id")
+    p = p.join(members, "x", "left").select(F.coalesce("example_id", "x").alias("x"), "partners")
     rows = examples.where("example_id is not null").select("example_id", F.lower(F.trim("split")).alias("split"), "source").where("split in ('val', 'test')")
     return (
         rows.join(p.withColumnRenamed("x", "example_id"), "example_id", "left")

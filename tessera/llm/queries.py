@@ -61,6 +61,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return overlap.cross_split_pairs(_table(spark, d, "examples"))
 
 
+@_query
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.overlap_classes(_table(spark, d, "examples"))
+
+
+@_query
+def p4_members(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.class_members(_table(spark, d, "examples"))
+
+
 @_query
 def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
     return overlap.coverage(_table(spark, d, "examples"))

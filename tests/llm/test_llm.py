@@ -326,8 +326,35 @@ def test_overlap_equals_brute_force(spark, top):
         for j, (z, b) in enumerate(rows):
             if s == "train" and z != "train" and a and b and edit_distance(a, b) * 10 <= max(len(a), len(b)):
                 want.add((min(i, j), max(i, j)))
-    got = {tuple(r) for r in overlap.cross_split_pairs(examples(spark, data)).collect()}
+    df = examples(spark, data)
+    got = {tuple(r) for r in overlap.cross_split_pairs(df).collect()}
     assert len(want) > 20 and got == want
+    of = {r["example_id"]: r["class_id"] for r in overlap.class_members(df).collect()}
+    split = {d["example_id"]: d["split"] for d in data}
+    pairs = {(of[b], of[a]) if split[a] == "train" else (of[a], of[b]) for a, b in want}
+    size = Counter((of[i], split[i] == "train") for i in of)
+    assert {tuple(r) for r in overlap.overlap_classes(df).collect()} == {(x, e, size[x, False], size[e, True]) for x, e in pairs}
+    rep = Counter()
+    for r in overlap.overlap_report(df).collect():
+        rep["pairs"] += r["pairs"]
+        rep["overlapping"] += r["overlapping"]
+    assert rep == {"pairs": len(want), "overlapping": len({a if split[b] == "train" else b for a, b in want})}
+
+
+def test_hot_anchors_are_divided(spark):
+    """Records of one or two frequent tokens, and a rare token around which a third of the training texts are alike."""
+    rng = random.Random(2)
+    rare = [rng.randrange(900, 999) for _ in range(20)]
+    rows = [("val", [7] * 40), ("test", [7, 8] * 20), ("val", rare + [rng.randrange(1, 50) for _ in range(100)])]
+    rows += [("train", [7] * rng.randrange(36, 45)) for _ in range(40)] + [("train", rare + [rng.randrange(1, 50) for _ in range(60)]) for _ in range(80)] + [("train", mutated(rng, rows[2][1], 5)), ("train", [2000] * 50)]
+    df = examples(spark, [{"example_id": i, "context": t, "split": s} for i, (s, t) in enumerate(rows)])
+    want = {(j, i) for i, (s, a) in enumerate(rows) for j, (z, b) in enumerate(rows) if s == "train" and z != "train" and edit_distance(a, b) * 10 <= max(len(a), len(b))}
+    assert {tuple(r) for r in overlap.cross_split_pairs(df).collect()} == want and len(want) > 20
+    got = {r["example_id"]: r["covered_tokens"] for r in overlap.coverage(df).collect()}
+    assert got[0] == 40 and got[2] >= 80 and 1 not in got
+    load = np.zeros(overlap.SKETCH, np.int64)
+    load[[3, 9]] = 900, 100
+    assert overlap._splits(load, 8)[[3, 9, 5]].tolist() == [8, 1, 1]
 
 
 def test_overlap_empty_and_report(spark):
