@@ -71,6 +71,8 @@ def reachable(commits: DataFrame, tips: DataFrame, doublings: int = 5, max_round
         if frontier.isEmpty():
             break
         seen = cut(seen.unionAll(frontier))
+    else:
+        raise RuntimeError(f"the history is longer than {max_rounds} rounds")
     return seen
 
 

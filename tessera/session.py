@@ -39,13 +39,16 @@ def attach(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; make a temporary one only where it is unset."""
+    """Use the folder the cluster names in spark.checkpoint.dir; where it is unset, a temporary one in local mode only."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or os.environ.get("TESSERA_CHECKPOINT_DIR")
     if configured is None:
-        configured = os.environ.get("TESSERA_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
 
 

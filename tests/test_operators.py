@@ -14,7 +14,7 @@ from tessera.functions import messages as M
 from tessera.functions import paths as P
 from tessera.functions import tokens as T
 from tessera.functions.edit import edit_distance, within
-from tessera.operators import dedup, history, linalg, packs, sampling, signals, stats, vocabulary, windows
+from tessera.operators import dedup, history, joins, linalg, packs, sampling, signals, stats, vocabulary, windows
 from tessera.operators.components import components
 from tessera.plans import formulas
 from tessera.sources import readers, sinks
@@ -144,6 +144,43 @@ def restated_stream(rows, length, overlap, pad):
     return out
 
 
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 5)
+    monkeypatch.setattr(joins, "HOT_KEYS", 20)
+    rng = random.Random(3)
+    edges = [(0, i) for i in range(1, 90)] + [(i, 500) for i in range(40, 60)] + [(rng.randrange(600, 700), rng.randrange(600, 700)) for _ in range(60)] + [(None, 3), (7, 7)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        if u is not None and u != v:
+            a, b = find(u), find(v)
+            parent[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {x: find(x) for x in list(parent)}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_of_hot_keys(spark, monkeypatch, how):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [2] * 30 + [3, 4, None, 5])], "k bigint, i bigint")
+    table = spark.createDataFrame([(1, "a"), (3, "c"), (5, "e"), (9, "x")], "k bigint, v string")
+    want = Counter(tuple(r) for r in joins.lookup(rows, table, "k", 84, how).collect())
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    assert Counter(tuple(r) for r in joins.lookup(rows, table, "k", 84, how).collect()) == want and len(want) == (84 if how == "left" else 52)
+
+
+def test_reachable_gives_up_aloud(spark):
+    chain = spark.createDataFrame([(str(i), [str(i + 1)]) for i in range(300)], "hash string, parents array<string>")
+    tips = chain.where("hash = '0'").select("hash")
+    assert history.reachable(chain, tips).count() == 301
+    with pytest.raises(RuntimeError):
+        history.reachable(chain, tips, 1, 2)
+
+
 @pytest.mark.parametrize("length,overlap", [(4, 1), (7, 3), (5, 0), (100, 10)])
 def test_stream_windows(spark, length, overlap):
     rng = random.Random(length)
