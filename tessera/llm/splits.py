@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.components import components
+from tessera.operators.joins import lookup
 from tessera.session import cut
 
 #: Strings that stand for a missing commit or path (fixed values).
@@ -78,16 +79,18 @@ def _links(examples: DataFrame, commits: DataFrame) -> DataFrame:
     return whole.unionAll(solved).withColumn("c", F.unhex("c"))
 
 
-def _grouped(examples: DataFrame, commits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((example_id, label, key), (key, root)): key is a commit, or a file that no commit shares."""
+def _grouped(examples: DataFrame, commits: DataFrame) -> DataFrame:
+    """(example_id, label, root): root is the smallest commit of the group, or a file or row that no commit shares."""
     links = cut(_links(examples, commits))
     files = links.where("f is not null and c is not null").groupBy("f").agg(F.min("c").alias("least"))
-    edges = links.where("f is not null and c is not null").select("c", "f").distinct().join(files, "f").select(F.col("c").alias("u"), F.col("least").alias("v"))
+    total = links.count()
+    edges = lookup(links.where("f is not null and c is not null").select("c", "f").distinct(), files, "f", total).select(F.col("c").alias("u"), F.col("least").alias("v"))
     roots = components(edges)
     named = links.where("c is not null").select("example_id", "label", F.col("c").alias("key"))
-    fileless = links.where("c is null and f is not null").join(files, "f", "left").select("example_id", "label", F.coalesce("least", F.concat(F.lit(b"file:"), F.encode("f", "utf-8"))).alias("key"))
+    fileless = lookup(links.where("c is null and f is not null"), files, "f", total, "left").select("example_id", "label", F.coalesce("least", F.concat(F.lit(b"file:"), F.encode("f", "utf-8"))).alias("key"))
     alone = links.where("c is null and f is null").select("example_id", "label", F.concat(F.lit(b"row:"), F.encode(F.col("example_id").cast("string"), "utf-8")).alias("key"))
-    return named.unionAll(fileless).unionAll(alone), roots
+    keyed = named.unionAll(fileless).unionAll(alone)
+    return lookup(keyed, roots.withColumnRenamed("node", "key"), "key", total, "left").select("example_id", "label", F.coalesce("root", "key").alias("root"))
 
 
 def anneal(groups: list[dict[str, int]], start: list[int], want: list[dict[str, float]], seed: int, steps: int) -> tuple[list[int], float]:
@@ -168,8 +171,9 @@ def _hashed(seed: int, key: bytes, shares: list[float]) -> int:
     return len(shares) - 1
 
 
-def _assignments(stats: DataFrame, proportions: dict[str, float], seed: int) -> DataFrame:
-    """(root, split) of every component, from its record numbers by label (root, label, n)."""
+def _assignments(stats: DataFrame, proportions: dict[str, float], seed: int) -> tuple[DataFrame, DataFrame | None]:
+    """(root, split) of the components dealt to shards and of the giants (at most ``1 / GIANT``, None if there are none), from the
+    record numbers of each component by label (root, label, n)."""
     spark = stats.sparkSession
     names = list(proportions)
     total = sum(proportions.values())
@@ -214,21 +218,19 @@ def _assignments(stats: DataFrame, proportions: dict[str, float], seed: int) ->
     dealt = rest.select("root", "counts", F.pmod(F.xxhash64("root"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(1), F.lit(REPLICAS))).alias("replica"))
     found = dealt.groupBy("shard", "replica").applyInPandas(run, "root binary, split string, cost double, replica int")
     best = found.groupBy("root").agg(F.min_by("split", F.struct("cost", "replica")).alias("split"))
-    if placed:
-        best = best.unionAll(spark.createDataFrame(placed, "root binary, split string"))
-    return best
+    return best, spark.createDataFrame(placed, "root binary, split string") if placed else None
 
 
 def group_split(examples: DataFrame, commits: DataFrame, proportions: dict[str, float] | None = None, label: str = "chunk_type", seed: int = 7) -> DataFrame:
     """(example_id, group_id, split): related records share a split; group_id is the smallest full
     commit hash of the group, null where it names no commit."""
     rows = examples.select("example_id", "commit_hash", "file_path", F.coalesce(F.col(label).cast("string"), F.lit("∅")).alias("label"))
-    keyed, roots = _grouped(rows, commits)
-    keyed = keyed.join(roots.withColumnRenamed("node", "key"), "key", "left").select("example_id", "label", F.coalesce("root", "key").alias("root"))
-    keyed = cut(keyed)
+    keyed = cut(_grouped(rows, commits))
     stats = keyed.groupBy("root", "label").agg(F.count("*").alias("n"))
-    split = _assignments(stats, proportions or PROPORTIONS, seed)
-    return keyed.join(split, "root").select("example_id", F.when(F.length("root") == 20, F.lower(F.hex("root"))).alias("group_id"), "split", "label", "root")
+    split, giants = _assignments(stats, proportions or PROPORTIONS, seed)
+    # a giant component is no key of a shuffle: all its rows get their split where they are
+    placed = keyed.join(split, "root") if giants is None else keyed.join(F.broadcast(giants), "root").unionByName(keyed.join(F.broadcast(giants.select("root")), "root", "left_anti").join(split, "root"))
+    return placed.select("example_id", F.when(F.length("root") == 20, F.lower(F.hex("root"))).alias("group_id"), "split", "label", "root")
 
 
 def related_groups(examples: DataFrame, commits: DataFrame) -> DataFrame:
