@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.functions.ragged import int_list_array
 from tessera.session import cut
 
 # The head of the id space.
@@ -48,13 +55,25 @@ def fixed_ids(spark) -> DataFrame:
 def encode(df: DataFrame, key: str, tokens: Column, vocab: DataFrame, unknown: int = UNKNOWN, most: int = 1_000_000) -> DataFrame:
     """(key, ids): ids of each row's tokens in order, unknown ones as ``unknown``; rows without tokens get an empty list.
 
-    The vocabulary is broadcast if it has at most ``most`` entries, joined by shuffle otherwise.
+    A vocabulary of at most ``most`` entries is looked up within Arrow batches, without a shuffle; a larger one is joined by shuffle.
+    Rows stay rows, also those of equal keys.
     """
-    ids = cut(vocab.select("token", "id"))
-    small = ids.count() <= most
+    known = vocab.select("token", "id").limit(most + 1).toPandas()  # at most ``most`` entries are used here
     rows = df.select(F.col(key), tokens.alias("t_"))
-    # with a broadcast vocabulary, rows placed by key stay there to the end
-    each = (rows.repartition(key) if small else rows).select(key, F.posexplode_outer("t_").alias("pos", "token"))
-    coded = each.join(F.broadcast(ids) if small else ids, "token", "left")
-    listed = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id"))))
-    return coded.groupBy(key).agg(F.transform(F.array_sort(listed), lambda x: x["id"]).alias("ids"))
+    if len(known) > most:
+        rows = cut(rows.withColumn("row_", F.monotonically_increasing_id()))
+        each = rows.select("row_", F.posexplode("t_").alias("pos", "token")).join(vocab.select("token", "id"), "token", "left")
+        coded = each.groupBy("row_").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id")))), lambda x: x["id"]).alias("ids"))
+        return rows.join(coded, "row_", "left").select(key, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    shared = df.sparkSession.sparkContext.broadcast((known["token"].tolist(), known["id"].to_numpy(np.int32)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, ids = shared.value
+        words, ids = pa.array(words, pa.string()), np.append(ids, np.int32(unknown))
+        for b in batches:
+            lists = b.column(1)
+            at = pc.index_in(lists.flatten(), words).fill_null(len(ids) - 1).to_numpy(zero_copy_only=False)
+            lengths = np.asarray(lists.value_lengths().fill_null(0))
+            yield pa.RecordBatch.from_arrays([b.column(0), int_list_array(ids[at], lengths)], names=[key, "ids"])
+
+    return rows.mapInArrow(run, rows.select(key).schema.add("ids", T.ArrayType(T.IntegerType())))

@@ -48,3 +48,20 @@ def human_time(seconds: Column) -> Column:
 def steps(sequences: Column, batch: int, epochs: Column) -> Column:
     """Training steps: whole and broken batches of all epochs."""
     return (F.ceil(sequences / batch) * epochs).cast("bigint")
+
+
+def attention_gb(context: Column, layers: int = 32, width: int = 2560, bytes_each: float = 2.0, kept: float = 0.25) -> Column:
+    """GiB of the keys and values and of the activations that are kept, for a context."""
+    return (context * (2.0 * layers * width * bytes_each) + context * (layers * width * bytes_each * kept)) / float(1 << 30)
+
+
+def highest_fitting(tiers: DataFrame, tier: str, need: str, budgets: DataFrame, budget: str) -> DataFrame:
+    """Budgets with the highest tier whose need fits, null where none does; both tables are parameters of a few rows."""
+    fits = budgets.join(F.broadcast(tiers), F.col(need) <= F.col(budget), "left")
+    return fits.groupBy(*budgets.columns).agg(F.max(tier).alias(tier))
+
+
+def hours(sequences: Column, mean_length: Column, packed_length: Column, seconds_each: Column) -> Column:
+    """Hours of a pass over sequences that are packed to a length, whole sequences per pack."""
+    packed = F.greatest(F.lit(1), F.floor(sequences / F.greatest(F.lit(1), F.floor(packed_length / mean_length))))
+    return packed * seconds_each / 3600.0

@@ -216,7 +216,10 @@ def _(s, d):
     return table(s, d, "documents").where("text is not null").select("doc_id", C.nesting(F.col("text")).alias("nesting"))
 
 
-@query("col_p33_p34_composite_difficulty")
+@query("col_p33_p34_composite_difficulty", f"""WITH a AS (SELECT doc_id, text, len(regexp_extract_all(text, '{C.OPERATOR}')) AS o, len(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'), lambda w: regexp_full_match(w, '[a-zA-Z_][a-zA-Z0-9_]*'))) AS n, regexp_replace(text, '[^\\[\\](){{}}]', '', 'g') AS b FROM documents WHERE text IS NOT NULL),
+    c AS (SELECT doc_id, unnest(range(1, length(b) + 1)) AS i, b FROM a), e AS (SELECT doc_id, sum(CASE WHEN b[i] IN ('(', '[', '{{') THEN 1 ELSE -1 END) OVER (PARTITION BY doc_id ORDER BY i) AS depth FROM c), d AS (SELECT doc_id, greatest(max(depth), 0) AS depth FROM e GROUP BY 1),
+    s AS (SELECT doc_id, floor(least(1 + {_occ([(w, 1) for w in C.DECISIONS])}, 100) * 3.0::DOUBLE + least(floor((o + n) * log2(greatest(o, 1) + greatest(n, 1)))::BIGINT, 1000) * 0.5::DOUBLE + coalesce(depth, 0) * 5.0::DOUBLE + len(string_split(text, chr(10))) * 0.1::DOUBLE)::BIGINT AS score FROM a LEFT JOIN d USING (doc_id))
+    SELECT doc_id, score, CASE WHEN score < 50 THEN 'easy' WHEN score < 200 THEN 'medium' ELSE 'hard' END AS difficulty FROM s""")
 def _(s, d):
     docs = table(s, d, "documents").where("text is not null").select("doc_id", C.composite(F.col("text")).alias("score"))
     return docs.withColumn("difficulty", F.when(F.col("score") < 50, "easy").when(F.col("score") < 200, "medium").otherwise("hard"))

@@ -67,11 +67,12 @@ def _(s, d):
     return table(s, d, "code_chunks").join(c, "commit_hash", "left").select("chunk_id", F.coalesce("commit_timestamp", F.lit(0)).alias("ts"))
 
 
-@query("join_j6_semi_imports", "SELECT doc_id, coalesce(regexp_matches(text, '(^|\\n)use '), false) AS has_dependencies FROM documents WHERE path IS NOT NULL")
+@query("join_j6_import_graph", """WITH g AS (SELECT DISTINCT filename FROM file_diffs WHERE filename IS NOT NULL AND regexp_matches(patch, '(^|\\n)[-+ ]\\s*(use|import|from) ')) SELECT chunk_id, file_path IN (SELECT filename FROM g) AS has_dependencies FROM code_chunks WHERE file_path IS NOT NULL""")
 def _(s, d):
-    docs = table(s, d, "documents").where("path is not null")
-    edges = docs.where(F.col("text").rlike(r"(^|\n)use ")).select(F.col("doc_id").alias("src"))
-    return H.has_dependencies(docs.select(F.col("doc_id").alias("path")), edges).select(F.col("path").alias("doc_id"), "has_dependencies")
+    # edges from a file to what its patches import, then a look-up of the files of chunks
+    used = F.regexp_extract_all("patch", F.lit(r"(?:^|\n)[-+ ]\s*(?:use|import|from) +([^\s;]*)"), F.lit(1))
+    edges = table(s, d, "file_diffs").where("filename is not null and patch is not null").select(F.col("filename").alias("src"), F.explode(used).alias("imported")).distinct()
+    return H.has_dependencies(table(s, d, "code_chunks").where("file_path is not null").select("chunk_id", F.col("file_path").alias("path")), edges).select("chunk_id", "has_dependencies")
 
 
 @query("join_j7_related_files", """WITH f AS (SELECT DISTINCT commit_hash, filename FROM file_diffs WHERE filename IS NOT NULL)

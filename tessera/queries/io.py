@@ -10,6 +10,7 @@ from tessera.functions.tokens import words
 from tessera.operators import history, sampling
 from tessera.plans import formulas, pipelines
 from tessera.queries.registry import query, table
+from tessera.queries.sequences import NEXT_FIT, next_fit
 from tessera.session import scratch
 from tessera.sources import readers, sinks
 from tessera.streaming import streams
@@ -49,17 +50,90 @@ def _(s, d):
 def _(s, d):
     fill = lambda c: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("-"))
     block = F.concat_ws("\n", "hash", fill("author_name"), F.coalesce("commit_timestamp", F.lit(0)).cast("string"), fill("subject"), F.lit("---COMMIT_END---\n"))
-    logs = _commits(s, d).groupBy(F.substring("hash", 1, 1).alias("g")).agg(F.array_join(F.collect_list(block), "").alias("log"))
+    c = _commits(s, d)
+    logs = c.groupBy(F.pmod(F.xxhash64("hash"), F.lit(c.count() // 1000 + 1)).alias("g")).agg(F.array_join(F.collect_list(block), "").alias("log"))  # logs of about a thousand commits
     return logs.select(F.inline(readers.parse_log_blocks(F.col("log")))).select("hash", "subject")
 
 
-@query("src_s15_s17_k_files", "SELECT doc_id, length(text) AS n FROM documents WHERE length(text) >= 100 AND lang IN ('rust', 'python')")
+_LATIN = "NOT regexp_matches(text, '[^\\x{0}-\\x{ff}]')"
+
+
+@query("src_s15_s16_s17_tree", f"""WITH f AS (SELECT doc_id, text, CASE WHEN {_LATIN} THEN length(text) ELSE strlen(text) END + CASE WHEN updated_at IS NULL THEN 1 ELSE 0 END AS bytes FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, bytes::BIGINT AS length, md5(f.text) AS digest FROM f JOIN documents d USING (doc_id) WHERE lower(d.lang) IN ('rust', 'python', 'text', 'markdown') AND d.source IS NOT NULL AND d.n_chars IS NOT NULL AND d.updated_at IS NOT NULL AND length(f.text) >= 100 AND bytes <= 20000""")
 def _(s, d):
-    docs = table(s, d, "documents").where("length(text) >= 100 and lang in ('rust', 'python')")
-    path = scratch(s, "files")
-    docs.select("text", "doc_id").write.partitionBy("doc_id").option("lineSep", "\n<<<end>>>\n").text(path)
-    read = s.read.text(path, wholetext=True).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    return read.select("doc_id", F.length(F.replace("value", F.lit("\n<<<end>>>\n"), F.lit(""))).cast("bigint").alias("n"))
+    # one file each: without a source below a vendored folder, without a count in a hidden one, undated ones binary; Latin-1 where that is enough
+    docs = table(s, d, "documents").where("text is not null")
+    folder = F.when(F.col("source").isNull(), "node_modules").when(F.col("n_chars").isNull(), ".cache").otherwise("src")
+    body = F.when(~F.col("text").rlike(r"[^\x00-\xff]"), F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    files = docs.select(F.concat_ws("/", folder, F.concat(F.pmod(F.xxhash64("doc_id"), F.lit(64)).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit("."), F.coalesce(F.lower(F.nullif("lang", F.lit(""))), F.lit("none")))).alias("path"), F.when(F.col("updated_at").isNull(), F.concat(F.lit(b"\x00"), body)).otherwise(body).alias("content"))
+    path = scratch(s, "tree")
+    sinks.write_tree(files, path)
+    found = readers.read_tree(s, path, ("rust", "python", "text", "markdown"), max_bytes=20_000, least_chars=100)
+    return found.select(F.regexp_extract("path", r"(\d+)\.\w+$", 1).cast("bigint").alias("doc_id"), "length", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("src_s5_s9_git_diffs", f"""WITH c AS (SELECT hash, left(hash, 2) AS k, is_revert, row_number() OVER (PARTITION BY left(hash, 2) ORDER BY commit_timestamp, hash) AS n FROM {_LATEST})
+    SELECT hash AS subject, CASE WHEN n = 1 THEN 'A' ELSE 'M' END AS change_type, 'src/' || k || '.txt' AS old_file, 'src/' || k || '.txt' AS filename, 1::BIGINT AS additions, CASE WHEN n = 1 THEN 0 ELSE 1 END::BIGINT AS deletions, false AS is_binary FROM c
+    UNION ALL SELECT hash, 'A', 'bin/' || hash, 'bin/' || hash, 0, 0, true FROM c WHERE is_revert
+    UNION ALL SELECT hash, 'R', 'bin/' || p, 'moved/' || p, 0, 0, true FROM (SELECT hash, lag(CASE WHEN is_revert THEN hash END IGNORE NULLS) OVER (ORDER BY commit_timestamp, hash) AS p, is_revert, lag(is_revert) OVER (ORDER BY commit_timestamp, hash) AS before FROM {_LATEST}) WHERE before AND NOT is_revert""")
+def _(s, d):
+    # a repository with one commit for each row: a line changed by every commit, a binary file added by reverts and moved by the next commit
+    from tessera.sources.git import GitCommits, GitDiffs
+
+    rows = _commits(s, d).select("hash", "is_revert", "commit_timestamp").orderBy("commit_timestamp", "hash").toLocalIterator()
+    path = _repository((r["hash"], r["is_revert"]) for r in rows)
+    for source in (GitCommits, GitDiffs):
+        s.dataSource.register(source)
+    commits = s.read.format("git_commits").option("repository", path).load().select(F.col("hash").alias("commit_hash"), "subject")
+    return s.read.format("git_diffs").option("repository", path).load().join(commits, "commit_hash").select("subject", "change_type", "old_file", "filename", "additions", "deletions", "is_binary")
+
+
+def _repository(rows) -> str:
+    """A git repository on the driver, made from (subject, binary file or not); git sources read where the client and the repository are."""
+    import subprocess
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="tessera-git-")
+    subprocess.run(["git", "init", "-q", path], check=True)
+    git = subprocess.Popen(["git", "-C", path, "fast-import", "--quiet"], stdin=subprocess.PIPE)
+    last = None
+    for i, (name, binary) in enumerate(rows):
+        git.stdin.write(f"commit refs/heads/main\ncommitter A <a@x> {1_000_000_000 + i} +0000\ndata {len(name)}\n{name}\n".encode())
+        for file, content in ((f"src/{name[:2]}.txt", name.encode() + b"\n"), *([(f"bin/{name}", b"\x00" + name.encode() * 9)] if binary else [])):
+            git.stdin.write(f"M 100644 inline {file}\ndata {len(content)}\n".encode() + content + b"\n")
+        if last and not binary:
+            git.stdin.write(f"R bin/{last} moved/{last}\n".encode())
+        last = name if binary else None
+    git.stdin.close()
+    if git.wait():
+        raise RuntimeError("git could not import the commits")
+    return path
+
+
+@query("src_s25_config", "SELECT * FROM (VALUES ('batch', '4'), ('nested.depth', '3'), ('nested.name', 'deep'), ('rate', '0.5'), ('words', '[\"a\", \"b\"]')) t(setting, value)")
+def _(s, d):
+    import json
+
+    path = scratch(s, "config")
+    s.createDataFrame([("batch: 4\n# said\nnested:\n  name: deep\nwords:\n  - a\n  - b\n",)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    text = s.read.text(path, wholetext=True).first()["value"]
+    found = readers.load_config(text, {"batch": 2, "rate": 0.5, "nested": {"depth": 3}})
+    flat = {f"{k}.{x}" if x else k: y for k, v in found.items() for x, y in (v.items() if isinstance(v, dict) else [("", v)])}
+    return s.createDataFrame([(k, v if isinstance(v, str) else json.dumps(v)) for k, v in flat.items()], "setting string, value string")
+
+
+@query("src_s27_digest", "SELECT (SELECT count(*) FROM documents WHERE path IS NOT NULL) AS n, true AS refused")
+def _(s, d):
+    path = scratch(s, "lines")
+    table(s, d, "documents").where("path is not null").select(F.regexp_replace("path", r"[\r\n]", " ").alias("value")).coalesce(1).write.text(path)
+    digest = s.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select(F.sha2("content", 256)).first()[0]
+    lines = readers.read_lines(s, path + "/*.txt", digest)
+    try:
+        readers.read_lines(s, path + "/*.txt", "0" * 64)
+        refused = False
+    except ValueError:
+        refused = True
+    return lines.agg(F.count("*").alias("n"), F.lit(refused).alias("refused"))
 
 
 _UNIFIED = "regexp_replace(regexp_replace(text, '\\r\\n|[\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]', chr(10), 'g'), '\\n$', '')"
@@ -102,7 +176,7 @@ def _(s, d):
     return readers.read_metrics(s, path).select("step", "train_loss")
 
 
-@query("snk_k2_k10_k11_k13_reports", "SELECT count(*) AS n, sum(len(tokens))::BIGINT AS tokens FROM packed_sequences")
+@query("snk_k2_k13_document", "SELECT count(*) AS n, sum(len(tokens))::BIGINT AS tokens FROM packed_sequences")
 def _(s, d):
     path = scratch(s, "report")
     p = table(s, d, "packed_sequences").agg(F.count("*").alias("n"), F.sum(F.when(F.col("tokens").isNotNull(), F.size("tokens"))).alias("tokens"))
@@ -110,11 +184,57 @@ def _(s, d):
     return s.read.schema("n bigint, tokens bigint").option("multiLine", True).json(path)
 
 
-@query("snk_k3_k5_k7_tokens", "SELECT example_id, list_sum(target)::BIGINT AS total FROM examples WHERE len(target) > 0")
+@query("snk_k3_jsonl_size", "SELECT count(example_id) AS n, round(sum(strlen('{\"example_id\":' || example_id || ',\"target\":' || to_json(target)::VARCHAR || '}') + 1) / 1048576.0::DOUBLE, 9) AS mb FROM examples WHERE target IS NOT NULL")
+def _(s, d):
+    path = scratch(s, "lines")
+    mb = sinks.write_jsonl(table(s, d, "examples").where("target is not null").select("example_id", "target"), path)
+    return readers.read_jsonl(s, path, "example_id bigint, target array<int>").agg(F.count("example_id").alias("n"), F.lit(round(mb, 9)).alias("mb"))
+
+
+@query("snk_k4_bundle", "SELECT coalesce(meta.type, 'none') AS source, count(*) AS n, sum(len(tokens))::BIGINT AS tokens FROM packed_sequences WHERE tokens IS NOT NULL GROUP BY 1")
+def _(s, d):
+    path = scratch(s, "bundle")
+    p = table(s, d, "packed_sequences").where("tokens is not null").select(F.coalesce("meta.type", F.lit("none")).alias("source"), "tokens")
+    sinks.write_bundle(p, path)
+    return s.read.parquet(path).groupBy("source").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"))
+
+
+@query("snk_k5_concatenated", """WITH e AS (SELECT example_id, unnest(list_append(target, 2)) AS t, generate_subscripts(list_append(target, 2), 1) AS i FROM examples WHERE len(target) > 0), g AS (SELECT t, row_number() OVER (ORDER BY example_id, i) - 1 AS o FROM e)
+    SELECT o // 2048 AS window_no, count(*)::INTEGER AS n_real, sum(t)::BIGINT AS total FROM g GROUP BY 1 HAVING count(*) >= 512""")
+def _(s, d):
+    from tessera.operators import windows
+
+    lines, path = scratch(s, "tokens"), scratch(s, "concatenated")
+    sinks.write_jsonl(table(s, d, "examples").where("size(target) > 0").select("example_id", F.concat("target", F.array(F.lit(2))).alias("t")), lines)
+    e = readers.read_jsonl(s, lines, "example_id bigint, t array<int>")
+    sinks.write_jsonl(windows.stream_windows(e, "t", ["example_id"], 2048, 0, keep_from=512), path)
+    back = readers.read_jsonl(s, path, "window_no bigint, n_real int, window array<int>")
+    return back.select("window_no", "n_real", F.aggregate("window", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
+
+
+@query("snk_k10_packed_batch", NEXT_FIT + " SELECT sum(packs + (open > 0)::INTEGER)::BIGINT AS n_packs, sum(used + open)::BIGINT AS real_tokens, round(sum(used + open) / (2048.0::DOUBLE * sum(packs + (open > 0)::INTEGER)), 6) AS efficiency FROM last")
 def _(s, d):
-    path = scratch(s, "tokens")
-    table(s, d, "examples").where("size(target) > 0").select("example_id", "target").write.json(path)
-    return s.read.schema("example_id bigint, target array<int>").json(path).select("example_id", F.aggregate("target", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
+    # the packs themselves and one row of statistics made from what was written
+    packed, stats = scratch(s, "packed"), scratch(s, "statistics")
+    sinks.write_jsonl(next_fit(s, d), packed)
+    p = readers.read_jsonl(s, packed, "shard bigint, pack_no bigint, tokens array<int>, mask array<int>")
+    used = F.aggregate("mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    sinks.write_report(p.agg(F.count("*").alias("n_packs"), F.sum(used).alias("real_tokens"), F.round(F.sum(used) / (F.lit(2048.0) * F.count("*")), 6).alias("efficiency")), stats)
+    return s.read.schema("n_packs bigint, real_tokens bigint, efficiency double").json(stats)
+
+
+@query("snk_k11_manifest", "SELECT split, count(*) AS n, count(*) FILTER (context IS NULL) AS n_empty FROM examples GROUP BY 1")
+def _(s, d):
+    path = scratch(s, "manifest")
+    sinks.write_report(table(s, d, "examples").groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("context").isNull()).alias("n_empty")), path)
+    return s.read.schema("split string, n bigint, n_empty bigint").json(path)
+
+
+@query("snk_k7_dense", "SELECT example_id, list_sum(target)::BIGINT AS total, len(target)::INTEGER AS n FROM examples WHERE len(target) > 0")
+def _(s, d):
+    path = scratch(s, "dense")
+    table(s, d, "examples").where("size(target) > 0").select("example_id", "target").write.parquet(path)
+    return s.read.parquet(path).select("example_id", F.aggregate("target", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"), F.size("target").alias("n"))
 
 
 @query("snk_k6_splits", "SELECT split, count(*) AS n FROM examples GROUP BY 1")
@@ -164,11 +284,12 @@ def _(s, d):
     return streams.sessions(e).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
-@query("str_token_windows")
+@query("str_token_windows", "SELECT k, (total - 512) // 384 + 1 AS n_windows, (total - 512) // 384 AS last FROM (SELECT (pack_id - 1) // 100 AS k, sum(len(tokens))::BIGINT AS total FROM packed_sequences WHERE len(tokens) > 0 GROUP BY 1) WHERE total >= 512")
 def _(s, d):
-    p = table(s, d, "packed_sequences").where("size(tokens) > 0").select(F.pmod("pack_id", F.lit(4)).alias("k"), F.col("pack_id").alias("pos"), "tokens")
+    # a stream of token lists for every hundred packs, of which one window may go on into the next list
+    p = table(s, d, "packed_sequences").where("size(tokens) > 0").select(F.floor((F.col("pack_id") - 1) / 100).alias("k"), F.col("pack_id").alias("pos"), "tokens")
     source, path, state = scratch(s, "tokens-in"), scratch(s, "tokens-out"), scratch(s, "tokens-state")
-    p.repartition(1).write.parquet(source)
+    p.write.parquet(source)
     live = s.readStream.schema(s.read.parquet(source).schema).parquet(source)
     q = streams.token_windows(live, "k", "tokens", 512, 128).writeStream.format("parquet").option("path", path).option("checkpointLocation", state).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -186,7 +307,7 @@ def _(s, d):
     return formulas.stage_table(s, 20, 131072)
 
 
-@query("pln_p50_p53_p55_projection", "SELECT e::INTEGER AS epoch, round(4.0 - (4.0 - 2.0) * (1 - pow(0.9, e)), 6)::DOUBLE AS value FROM range(1, 21) t(e)")
+@query("pln_p53_projection", "SELECT e::INTEGER AS epoch, round(4.0 - (4.0 - 2.0) * (1 - pow(0.9, e)), 6)::DOUBLE AS value FROM range(1, 21) t(e)")
 def _(s, d):
     return formulas.decay_projection(s, 20, 4.0, 2.0, 0.9).select("epoch", F.round("value", 6).alias("value"))
 
@@ -211,7 +332,7 @@ def _(s, d):
     return pipelines.file_corpus(table(s, d, "documents"), 256).groupBy("split", "priority").agg(F.count("*").alias("n"))
 
 
-@query("srt_t5_t8_entropy_order", "SELECT doc_id, array_to_string(regexp_extract_all(lower(replace(text, chr(304), 'i' || chr(775))), '[\\p{L}\\p{N}_]+')[:10], ' ') AS head FROM documents WHERE text IS NOT NULL")
+@query("srt_t8_first_words", "SELECT doc_id, array_to_string(regexp_extract_all(lower(replace(text, chr(304), 'i' || chr(775))), '[\\p{L}\\p{N}_]+')[:10], ' ') AS head FROM documents WHERE text IS NOT NULL")
 def _(s, d):
     docs = table(s, d, "documents").where("text is not null")
     return docs.select("doc_id", F.array_join(F.slice(words(F.col("text")), 1, 10), " ").alias("head"))
@@ -248,23 +369,30 @@ def _(s, d):
     return table(s, d, "code_chunks").groupBy("commit_hash").agg(F.max_by("chunk_id", F.struct(F.coalesce("additions", F.lit(0)), "chunk_id")).alias("best"))
 
 
-@query("src_s16_binary", "SELECT is_binary, count(*) AS n FROM (SELECT contains(coalesce(patch, ''), chr(1)) AS is_binary FROM file_diffs) GROUP BY 1")
+@query("pln_p50_steps", "SELECT pack_id, ceil(len(tokens) / 48.0)::BIGINT * 3 AS steps FROM packed_sequences WHERE tokens IS NOT NULL")
 def _(s, d):
-    return table(s, d, "file_diffs").groupBy(F.contains(F.coalesce("patch", F.lit("")), F.lit("\x01")).alias("is_binary")).agg(F.count("*").alias("n"))
+    return table(s, d, "packed_sequences").where("tokens is not null").select("pack_id", formulas.steps(F.size("tokens"), 48, F.lit(3)).alias("steps"))
 
 
-@query("lin_n9_attention")
+@query("pln_p54_tiers", """WITH t AS (SELECT tier, (context::BIGINT * (2 * 32 * 2560 * 2) + context * (32 * 2560 * 2 * 0.25::DOUBLE)) / 1073741824.0::DOUBLE AS gb FROM (VALUES (1, 4096), (2, 8192), (3, 16384), (4, 32768), (5, 57344)) t(tier, context)), b AS (SELECT DISTINCT capacity, capacity / 1000.0::DOUBLE AS budget FROM pack_budgets)
+    SELECT capacity, (SELECT max(tier) FROM t WHERE gb <= budget) AS tier FROM b""")
 def _(s, d):
-    from tessera.operators import linalg
+    t = s.createDataFrame([(1, 4096), (2, 8192), (3, 16384), (4, 32768), (5, 57344)], "tier int, context int").withColumn("gb", formulas.attention_gb(F.col("context")))
+    b = table(s, d, "pack_budgets").select("capacity", (F.col("capacity") / 1000.0).alias("budget")).distinct()
+    return formulas.highest_fitting(t, "tier", "gb", b, "budget").select("capacity", "tier")
 
-    # sequences of 64 vectors
-    e = table(s, d, "embeddings").select(F.floor(F.col("vec_id") / 64).alias("seq"), (F.col("vec_id") % 64).alias("i"), F.col("embedding").alias("vector"))
-    return linalg.attention(e, e, e, 0.125).select("seq", "i", F.round(linalg.norm(F.col("vector")), 4).alias("norm"))
 
-
-@query("col_p54_tiers", """SELECT tier, context, round(4 * context / 1024.0::DOUBLE / 1024 * 2.5, 6)::DOUBLE AS gb FROM (VALUES (1, 4096), (2, 8192), (3, 16384), (4, 32768), (5, 57344)) t(tier, context)""")
+@query("pln_p55_hours", """SELECT split, round(greatest(1, floor(n / greatest(1, floor(2048 / mean)))) * 0.12 / 3600.0::DOUBLE, 9)::DOUBLE AS hours FROM (SELECT split, count(*) AS n, avg(len(context)) AS mean FROM examples WHERE len(context) > 0 GROUP BY 1)""")
 def _(s, d):
-    t = s.createDataFrame([(1, 4096), (2, 8192), (3, 16384), (4, 32768), (5, 57344)], "tier int, context int")
-    return t.withColumn("gb", F.round(4 * F.col("context") / F.lit(1024.0) / 1024 * 2.5, 6))
+    e = table(s, d, "examples").where("size(context) > 0").groupBy("split").agg(F.count("*").alias("n"), F.avg(F.size("context")).alias("mean"))
+    return e.select("split", F.round(formulas.hours(F.col("n"), F.col("mean"), F.lit(2048), F.lit(0.12)), 9).alias("hours"))
+
 
+@query("lin_n9_attention", """WITH e AS (SELECT vec_id // 64 AS seq, vec_id % 64 AS i, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT a.seq, a.i, b.v, list_dot_product(a.v, b.v) * 0.125 AS s FROM e a JOIN e b ON a.seq = b.seq AND b.i <= a.i), w AS (SELECT seq, i, v, exp(s - max(s) OVER (PARTITION BY seq, i)) AS w FROM s),
+    c AS (SELECT seq, i, w, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM w), o AS (SELECT seq, i, p, sum(w * x) / sum(w) AS x FROM c GROUP BY 1, 2, 3) SELECT seq, i, round(sqrt(sum(x * x)), 4) AS norm FROM o GROUP BY 1, 2""")
+def _(s, d):
+    from tessera.operators import linalg
 
+    # sequences of 64 vectors
+    e = table(s, d, "embeddings").select(F.floor(F.col("vec_id") / 64).alias("seq"), (F.col("vec_id") % 64).alias("i"), F.col("embedding").alias("vector"))
+    return linalg.attention(e, e, e, 0.125).select("seq", "i", F.round(linalg.norm(F.col("vector")), 4).alias("norm"))

@@ -75,15 +75,26 @@ def _(s, d):
     return table(s, d, "examples").where("target is not null").select("example_id", _sum(T.fit(F.col("target"), 64)).alias("total"), _sum(T.fit_mask(F.col("target"), 64)).alias("real"))
 
 
-@query("win_w11_next_fit")
+#: Next fit of every thousand lists into packs of 2048: packs closed, tokens in them, tokens in the open one.
+NEXT_FIT = """WITH RECURSIVE p AS (SELECT (pack_id - 1) // 1000 AS shard, least(len(tokens), 2048) AS n, row_number() OVER (PARTITION BY (pack_id - 1) // 1000 ORDER BY pack_id) AS r FROM packed_sequences WHERE len(tokens) > 0),
+    s AS (SELECT DISTINCT shard, 0::BIGINT AS r, 0::BIGINT AS packs, 0::BIGINT AS used, 0::BIGINT AS open FROM p UNION ALL
+    SELECT shard, r, packs + c::INTEGER + (n >= 2048)::INTEGER, used + CASE WHEN c THEN open ELSE 0 END + CASE WHEN n >= 2048 THEN n ELSE 0 END, CASE WHEN n >= 2048 THEN 0 WHEN c OR open = 0 THEN n ELSE open + 1 + n END
+    FROM (SELECT s.shard, p.r, packs, used, open, n, open > 0 AND (n >= 2048 OR open + n + 1 > 2048) AS c FROM s JOIN p ON p.shard = s.shard AND p.r = s.r + 1)), last AS (SELECT shard, arg_max(packs, r) AS packs, arg_max(used, r) AS used, arg_max(open, r) AS open FROM s GROUP BY 1)"""
+
+
+def next_fit(s, d):
+    return packs.next_fit(table(s, d, "packed_sequences"), "tokens", ["pack_id"], F.floor((F.col("pack_id") - 1) / 1000), 2048)
+
+
+@query("win_w11_next_fit", NEXT_FIT + " SELECT shard, packs + (open > 0)::INTEGER AS n_packs, used + open AS real_tokens FROM last")
 def _(s, d):
-    p = packs.next_fit(table(s, d, "packed_sequences"), "tokens", ["pack_id"], F.pmod(F.col("pack_id"), F.lit(8)), 2048)
-    return p.groupBy("shard").agg(F.count("*").alias("n_packs"), F.sum(_sum("mask")).alias("real_tokens"))
+    return next_fit(s, d).groupBy("shard").agg(F.count("*").alias("n_packs"), F.sum(_sum("mask")).alias("real_tokens"))
 
 
 @query("win_w12_entropy_pack")
 def _(s, d):
-    p = table(s, d, "packed_sequences").where("size(tokens) > 0").select(F.pmod("pack_id", F.lit(40)).alias("bin"), "pack_id", "tokens", T.entropy8(F.col("tokens")).alias("h"), F.array(F.floor(F.size("tokens") / 2).cast("int")).alias("points"))
+    # a budget for every ten lists
+    p = table(s, d, "packed_sequences").where("size(tokens) > 0").select(F.floor((F.col("pack_id") - 1) / 10).alias("bin"), "pack_id", "tokens", T.entropy8(F.col("tokens")).alias("h"), F.array(F.floor(F.size("tokens") / 2).cast("int")).alias("points"))
     return packs.by_entropy(p, ["bin"], "pack_id", "tokens", "h", "points", 1024).select("bin", F.size("tokens").alias("n_tokens"), F.size("files").alias("n_files"), "quality_score", "efficiency")
 
 
@@ -111,11 +122,20 @@ def _(s, d):
 _CODE_TOKENS = "regexp_extract_all(new_code, '[a-zA-Z_][a-zA-Z0-9_]*|[0-9]+|[+\\-*/%=<>!&|^~?:|;,.(\\[\\]{}]')"
 
 
-@query("agg_a7_a8_vocabulary", f"""WITH t AS (SELECT chunk_id, unnest({_CODE_TOKENS}) AS token, generate_subscripts({_CODE_TOKENS}, 1) - 1 AS pos FROM code_chunks WHERE new_code IS NOT NULL), c AS (SELECT token, count(*) AS freq, min(struct_pack(k := chunk_id, p := pos)) AS f FROM t GROUP BY 1)
+def _code(text: str) -> str:
+    return _CODE_TOKENS.replace("new_code", text)
+
+
+_TEXT = "flatten(list_transform(list_filter(regexp_split_to_array({}, '\\s+'), lambda x: x <> ''), lambda w: CASE WHEN right(w, 1) IN ('.', ',') THEN [left(w, length(w) - 1), right(w, 1)] ELSE [w] END))"
+_FOUR = " || ".join(f"coalesce({x}, [])" for x in (_code("old_code"), _code("new_code"), _TEXT.format("commit_meta.message"), _code("context_lines")))
+
+
+@query("agg_a7_a8_vocabulary", f"""WITH a AS (SELECT chunk_id, {_FOUR} AS l FROM code_chunks), t AS (SELECT chunk_id, unnest(l) AS token, generate_subscripts(l, 1) - 1 AS pos FROM a), c AS (SELECT token, count(*) AS freq, min(struct_pack(k := chunk_id, p := pos)) AS f FROM t GROUP BY 1)
     SELECT token, (row_number() OVER (ORDER BY freq DESC, f) - 1 + 5085)::INTEGER AS id, freq FROM c QUALIFY row_number() OVER (ORDER BY freq DESC, f) <= 915""")
 def _(s, d):
-    chunks = table(s, d, "code_chunks").where("new_code is not null")
-    return vocabulary.vocabulary(vocabulary.frequencies(chunks, "chunk_id", T.code_tokens(F.col("new_code"))), 6000)
+    none = F.array().cast("array<string>")
+    four = F.concat(*(F.coalesce(x, none) for x in (T.code_tokens(F.col("old_code")), T.code_tokens(F.col("new_code")), T.text_tokens(F.col("commit_meta.message")), T.code_tokens(F.col("context_lines")))))
+    return vocabulary.vocabulary(vocabulary.frequencies(table(s, d, "code_chunks"), "chunk_id", four), 6000)
 
 
 @query("join_j4_encode", f"""WITH t AS (SELECT chunk_id, unnest({_CODE_TOKENS}) AS token, generate_subscripts({_CODE_TOKENS}, 1) - 1 AS pos FROM code_chunks WHERE new_code IS NOT NULL), c AS (SELECT token, count(*) AS freq, min(struct_pack(k := chunk_id, p := pos)) AS f FROM t GROUP BY 1),
@@ -128,7 +148,9 @@ def _(s, d):
     return vocabulary.encode(chunks, "chunk_id", tokens, vocab).select("chunk_id", F.size("ids").cast("bigint").alias("n"), _sum("ids").alias("total"))
 
 
-@query("txt_g15_chunk_sequence")
+@query("txt_g15_chunk_sequence", f"""WITH l AS (SELECT chunk_id, ['<COMMIT_START>', '<FILE:' || coalesce(file_path, 'unknown') || '>', '<CHANGE:' || coalesce(change_type, 'unknown') || '>', '<AUTHOR:' || coalesce(commit_meta.author, 'unknown') || '>'] || CASE WHEN commit_meta.timestamp_unix IS NOT NULL THEN ['<TIMESTAMP:' || strftime(make_timestamp(commit_meta.timestamp_unix * 1000000), '%Y-%m') || '>'] ELSE [] END
+    || CASE WHEN coalesce(module_path, '') <> '' THEN ['<MODULE:' || module_path || '>'] ELSE [] END || ['<CODE_START>'] || ({_TEXT.format("coalesce(commit_meta.message, '')")})[:64] || ['<CODE_END>'] || CASE WHEN coalesce(old_code, '') <> '' THEN ['<OLD_CODE_START>'] || ({_code("old_code")})[:512] || ['<OLD_CODE_END>'] ELSE [] END
+    || ['<NEW_CODE_START>'] || ({_code("coalesce(new_code, '')")})[:2048] || ['<NEW_CODE_END>', '<COMMIT_END>'] AS l FROM code_chunks) SELECT chunk_id, len(l)::INTEGER AS n_tokens, md5(array_to_string(l, ' ')) AS digest FROM l""")
 def _(s, d):
     return table(s, d, "code_chunks").select("chunk_id", F.size(serialise.chunk_tokens()).alias("n_tokens"), F.md5(F.array_join(serialise.chunk_tokens(), " ").cast("binary")).alias("digest"))
 
@@ -167,7 +189,7 @@ def _(s, d):
     return sampling.replicate(e, F.col("w"), ["example_id"]).select("example_id", "copy_no", "seq_id")
 
 
-@query("smp_x4_upsample", f"""WITH b AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents), n AS (SELECT count(*) AS n FROM b), p AS (SELECT {_H.format("'42:' || i::VARCHAR")} % (SELECT n FROM n) AS r FROM range((SELECT n FROM n), 1100) t(i))
+@query("smp_x4_upsample_to_1100", f"""WITH b AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents), n AS (SELECT count(*) AS n FROM b), p AS (SELECT {_H.format("'42:' || i::VARCHAR")} % (SELECT n FROM n) AS r FROM range((SELECT n FROM n), 1100) t(i))
     SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM b UNION ALL SELECT doc_id FROM p JOIN b USING (r)) GROUP BY 1""")
 def _(s, d):
     return sampling.upsample(table(s, d, "documents").select("doc_id"), ["doc_id"], 1100).groupBy("doc_id").agg(F.count("*").alias("n"))
@@ -181,7 +203,8 @@ def _(s, d):
     return sampling.upsample(docs, ["doc_id"], n + n // 10).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query("smp_x5_weighted_sample")
+@query("smp_x5_weighted_sample", f"""WITH w AS (SELECT example_id, round((1 + (example_id + 1) / (max(example_id) OVER () + 1)::DOUBLE * 2) * 1000000)::BIGINT AS w FROM examples), c AS (SELECT example_id, w, sum(w) OVER (ORDER BY example_id) - w AS lo FROM w), d AS (SELECT i AS draw, ({_H.format("'42:' || i::VARCHAR")} * 2097152 + {_H.format("'43:' || i::VARCHAR")} % 2097152) % (SELECT sum(w)::BIGINT FROM w) AS x FROM range(1000) t(i))
+    SELECT draw, example_id FROM d JOIN c ON x >= lo AND x < lo + w""")
 def _(s, d):
     e = signals.recency(table(s, d, "examples").select("example_id"), "example_id")
     return sampling.weighted_sample(e, ["example_id"], 1 + F.col("recency") * 2, 1000).select("draw", "example_id")
@@ -265,12 +288,13 @@ def _series(s, d):
     return table(s, d, "events").where("value is not null").select("user_id", "event_id", "ts", F.col("value").alias("train"), (F.col("value") * (1 + (F.col("event_id") % 7) / F.lit(10.0))).alias("val"))
 
 
-@query("sig_wf3_wf5_wf7", f"""WITH e AS ({_EV}), w AS (SELECT *, row_number() OVER s AS n, lag(train, 4) OVER s AS t4, lag(val, 2) OVER s AS v2, lag(val, 4) OVER s AS v4, avg(train) OVER f AS a_t, avg(val) OVER f AS av, stddev_pop(val) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sd FROM e
+@query("sig_wf3_wf4_wf5_wf7", f"""WITH e AS ({_EV}), w AS (SELECT *, row_number() OVER s AS n, lag(train, 4) OVER s AS t4, lag(val, 2) OVER s AS v2, lag(val, 4) OVER s AS v4, avg(train) OVER f AS a_t, avg(val) OVER f AS av, stddev_pop(val) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sd FROM e
     WINDOW s AS (PARTITION BY user_id ORDER BY ts, event_id), f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
-    SELECT event_id, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AS converged, CASE WHEN n < 3 THEN false ELSE (val - v2) / greatest(1e-6, v2) > 0.05 OR (n >= 10 AND sd < 0.001) END AS reduce_lr,
+    SELECT event_id, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AS converged, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AND abs(1 + (event_id % 5 - 2) / 16.0::DOUBLE - 1) < 0.1 AS advance_phase, CASE WHEN n < 3 THEN false ELSE (val - v2) / greatest(1e-6, v2) > 0.05 OR (n >= 10 AND sd < 0.001) END AS reduce_lr,
     CASE WHEN n < 5 THEN false ELSE a_t < 0.5 * av AND (val - v4) / greatest(1e-6, v4) > 0.02 END AS overfitting FROM w""")
 def _(s, d):
-    return signals.training_signals(_series(s, d), ["user_id"], ["ts", "event_id"], "train", "val").select("event_id", "converged", "reduce_lr", "overfitting")
+    e = _series(s, d).withColumn("grad", 1 + (F.col("event_id") % 5 - 2) / F.lit(16.0))
+    return signals.training_signals(e, ["user_id"], ["ts", "event_id"], "train", "val", "grad").select("event_id", "converged", "advance_phase", "reduce_lr", "overfitting")
 
 
 @query("sig_wf6_wf8_wf9", f"""WITH e AS ({_EV}) SELECT event_id, coalesce(avg(train) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) > 50, false) AS extend_context,
@@ -281,7 +305,11 @@ def _(s, d):
     return signals.rolling_variance(e, ["user_id"], ["ts", "event_id"], "train").select("event_id", "extend_context", "spike", F.round(F.sqrt("variance"), 4).alias("deviation"))
 
 
-@query("sig_wf10_wf11_wf13")
+@query("sig_wf10_wf11_wf13", """WITH RECURSIVE e AS (SELECT user_id, value AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events WHERE value IS NOT NULL),
+    r AS (SELECT DISTINCT user_id, -1::BIGINT AS i, 'inf'::DOUBLE AS best, 0 AS wait, -1::BIGINT AS stop, NULL::DOUBLE AS ema, 2048 AS seq, 8 AS rank FROM e UNION ALL
+    SELECT r.user_id, e.i, CASE WHEN stop < 0 AND x < best - 0.01 THEN x ELSE best END, CASE WHEN stop >= 0 THEN wait WHEN x < best - 0.01 THEN 0 ELSE wait + 1 END, CASE WHEN stop >= 0 THEN stop WHEN NOT x < best - 0.01 AND wait + 1 >= 5 THEN e.i ELSE -1 END,
+    CASE WHEN e.i = 0 THEN x ELSE 0.9::DOUBLE * ema + (1 - 0.9::DOUBLE) * x END, CASE WHEN x > 90 THEN least(8192, (floor(seq * 1.25)::INTEGER + 511) // 512 * 512) ELSE seq END, CASE WHEN x > 90 THEN least(64, floor(rank * 1.2)::INTEGER) ELSE rank END FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1)
+    SELECT user_id, arg_max(best, i) AS best, arg_max(stop, i)::INTEGER AS stopped_at, round(arg_max(ema, i), 6) AS ema, arg_max(seq, i)::INTEGER AS seq, arg_max(rank, i)::INTEGER AS rank FROM r GROUP BY 1""")
 def _(s, d):
     v = signals.series(_series(s, d), ["user_id"], ["ts", "event_id"], "train")
     flags = F.transform("values", lambda x: F.struct((x > 90).alias("extend"), (x < 5).alias("reduce")))
@@ -300,6 +328,12 @@ def _(s, d):
     return e.agg(F.round(F.avg("w"), 6).alias("mean"), F.round(F.max("w"), 6).alias("most"), F.round(F.stddev_pop("w"), 6).alias("std"), F.count("*").alias("n"))
 
 
+@query("agg_a23_top_commits", """WITH w AS (SELECT commit_hash, 1 + 2 * (example_id + 1) / (max(example_id) OVER () + 1)::DOUBLE AS w FROM examples) SELECT commit_hash, round(sum(w), 6) AS weight FROM w WHERE commit_hash IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""")
+def _(s, d):
+    e = signals.recency(table(s, d, "examples").select("example_id", "commit_hash"), "example_id").where("commit_hash is not null")
+    return e.groupBy("commit_hash").agg(F.round(F.sum(1 + 2 * F.col("recency")), 6).alias("weight")).orderBy(F.desc("weight"), "commit_hash").limit(3)
+
+
 @query("agg_a24_hardware", """SELECT metric, round(min(v), 6) AS least, round(max(v), 6) AS most, round(avg(v), 6) AS mean FROM (SELECT unnest(['value', 'hour']) AS metric, unnest([value, hour(ts)::DOUBLE]) AS v FROM events) GROUP BY 1""")
 def _(s, d):
     e = table(s, d, "events").select("event_id", "value", F.hour("ts").cast("double").alias("hour")).unpivot("event_id", ["value", "hour"], "metric", "v")
@@ -329,18 +363,38 @@ def _(s, d):
     return table(s, d, "documents").where("lang = 'rust' and text is not null").select("doc_id", F.md5(serialise.typed_lets(t).cast("binary")).alias("typed"), F.md5(serialise.error_comment(t).cast("binary")).alias("commented"))
 
 
-@query("txt_g2_g7_renames")
+def _renames(pairs) -> str:
+    out = "text"
+    for old, new in pairs:
+        out = _renamed(out, old, new)
+    return out
+
+
+def _renamed(text: str, old: str, new: str) -> str:
+    """Whole words of any script replaced, twice because neighbours share what parts them."""
+    edge = "[^\\p{L}\\p{N}\\p{Mn}_]"
+    for _ in range(2):
+        text = f"regexp_replace({text}, '(^|{edge})({old})($|{edge})', '\\1{new}\\3', 'g')"
+    return text
+
+
+@query("txt_g1_g7_renames", f"SELECT doc_id, md5({_renames(serialise.RENAMES_LONG)}) AS long, md5({_renames(serialise.RENAMES_SHORT)}) AS short, md5({_renamed('text', 'x|i|j|temp', '\\2_var')}) AS suffixed FROM documents WHERE text IS NOT NULL")
 def _(s, d):
     t = F.col("text")
+    return table(s, d, "documents").where("text is not null").select("doc_id", F.md5(serialise.renamed(t).cast("binary")).alias("long"), F.md5(serialise.renamed(t, serialise.RENAMES_SHORT).cast("binary")).alias("short"), F.md5(serialise.suffixed(t).cast("binary")).alias("suffixed"))
+
+
+@query("txt_g2_syntax_renames")
+def _(s, d):
     docs = table(s, d, "documents").where("lang = 'python' and text is not null")
-    return docs.select("doc_id", F.md5(serialise.renamed_ast(t).cast("binary")).alias("by_tree"), F.md5(serialise.renamed(t).cast("binary")).alias("long"), F.md5(serialise.renamed(t, serialise.RENAMES_SHORT).cast("binary")).alias("short"), F.md5(serialise.suffixed(t).cast("binary")).alias("suffixed"))
+    return docs.select("doc_id", F.md5(serialise.renamed_ast(F.col("text")).cast("binary")).alias("by_tree"))
 
 
-@query("txt_g5_g6_headers", """WITH i AS (SELECT doc_id, text, list_sort(regexp_extract_all(text, 'use\\s+([\\w:]+)', 1)) AS u FROM documents WHERE text IS NOT NULL) SELECT doc_id, md5(CASE WHEN len(u) > 0 THEN '// Dependencies: ' || array_to_string(u[:5], ', ') || chr(10) || text ELSE text END) AS deps, left(CASE WHEN doc_id % 120 < 30 THEN '// Recently modified' WHEN doc_id % 120 < 90 THEN '// Modified this quarter' ELSE '// Stable code' END || chr(10) || text, 40) AS head FROM i""")
+@query("txt_g5_g6_headers", """WITH i AS (SELECT doc_id, text, list_sort(regexp_extract_all(text, 'use\\s+([\\w:]+)', 1)) AS u FROM documents WHERE text IS NOT NULL) SELECT doc_id, md5(CASE WHEN len(u) > 0 THEN '// Dependencies: ' || array_to_string(u[:5], ', ') || chr(10) || text ELSE text END) AS deps, md5(CASE WHEN doc_id % 120 < 30 THEN '// Recently modified' WHEN doc_id % 120 < 90 THEN '// Modified this quarter' ELSE '// Stable code' END || chr(10) || text) AS head FROM i""")
 def _(s, d):
     t = F.col("text")
     docs = table(s, d, "documents").where("text is not null")
-    return docs.select("doc_id", F.md5(serialise.dependency_header(t, F.regexp_extract_all(t, F.lit(r"use\s+([\w:]+)"), F.lit(1))).cast("binary")).alias("deps"), F.substring(serialise.age_header(t, F.col("doc_id") % 120), 1, 40).alias("head"))
+    return docs.select("doc_id", F.md5(serialise.dependency_header(t, F.regexp_extract_all(t, F.lit(r"use\s+([\w:]+)"), F.lit(1))).cast("binary")).alias("deps"), F.md5(serialise.age_header(t, F.col("doc_id") % 120).cast("binary")).alias("head"))
 
 
 @query("txt_g8_masking", f"""WITH t AS (SELECT chunk_id, unnest({_CODE_TOKENS}) AS token, generate_subscripts({_CODE_TOKENS}, 1) - 1 AS pos FROM code_chunks WHERE new_code IS NOT NULL) SELECT chunk_id, count(*) AS n, count(*) FILTER ({_H.format("'3:' || chunk_id || ':' || pos::VARCHAR")} % 10000 < 1000) AS n_masked FROM t GROUP BY 1""")
@@ -350,7 +404,11 @@ def _(s, d):
     return c.select("chunk_id", F.size("m").cast("bigint").alias("n"), F.size(F.filter("m", lambda x: x == "[MASK]")).cast("bigint").alias("n_masked"))
 
 
-@query("txt_g11_g12_comments_format")
+_ENDS = "[\\r\\x{85}\\x{2028}\\x{2029}]"
+
+
+@query("txt_g11_g12_comments_format", f"""SELECT doc_id, md5(array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: CASE WHEN regexp_matches(x, '//|#') AND {_H.format("'5:' || doc_id::VARCHAR || ':' || (i - 1)::VARCHAR")} % 10000 < 5000 THEN regexp_replace(x, '(//|#)[^\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]*({_ENDS}?)$', '\\2') ELSE x END), chr(10))) AS plain,
+    md5(CASE WHEN {_H.format("'6:' || doc_id::VARCHAR")} % 10000 < 5000 THEN regexp_replace(text, '\\n[ \\t\\n\\x0b\\f\\r]*\\n', chr(10), 'g') ELSE replace(replace(text, '}} else {{', '}}' || chr(10) || 'else {{'), '; ', ';' || chr(10)) END) AS formatted FROM documents WHERE text IS NOT NULL""")
 def _(s, d):
     t = F.col("text")
     return table(s, d, "documents").where("text is not null").select("doc_id", F.md5(serialise.without_comments(t, 5, "doc_id").cast("binary")).alias("plain"), F.md5(serialise.reformatted(t, 6, "doc_id").cast("binary")).alias("formatted"))
@@ -421,12 +479,12 @@ def _(s, d):
     return q.select("vec_id", F.round(F.aggregate("q", F.lit(0.0), lambda a, g: a + g["scale"] * 32), 6).alias("scales"), F.aggregate("q", F.lit(0).cast("bigint"), lambda a, g: a + F.aggregate(g["codes"], F.lit(0).cast("bigint"), lambda b, c: b + c)).alias("codes"))
 
 
-@query("lin_n11_nearest", """WITH q AS (SELECT * FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT q.vec_id AS query, e.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS c FROM q, embeddings e WHERE q.vec_id <> e.vec_id) SELECT query, round(max(c), 4) AS best, count(*) AS compared FROM s GROUP BY 1""")
+@query("lin_n11_nearest", """WITH q AS (SELECT * FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT q.vec_id AS query, e.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS c FROM q, embeddings e WHERE q.vec_id <> e.vec_id) SELECT query, arg_max(vec_id, struct_pack(c := round(c, 9), k := -vec_id)) AS neighbour, round(max(c), 4) AS best, count(*) AS compared FROM s GROUP BY 1""")
 def _(s, d):
     e = table(s, d, "embeddings")
     near = linalg.nearest(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", 1)
     n = e.agg(F.count("*").alias("n"))
-    return near.crossJoin(n).select("query", F.round("similarity", 4).alias("best"), (F.col("n") - 1).alias("compared"))
+    return near.crossJoin(n).select("query", F.col("vec_id").alias("neighbour"), F.round("similarity", 4).alias("best"), (F.col("n") - 1).alias("compared"))
 
 
 _C = "(SELECT * FROM commits QUALIFY row_number() OVER (PARTITION BY hash ORDER BY scraped_at DESC) = 1)"
@@ -447,7 +505,9 @@ def _(s, d):
     return serialise.commit_styles(c, table(s, d, "file_diffs")).select("hash", "flat", "semantic", "hierarchical")
 
 
-@query("txt_g17_diff_aware")
+@query("txt_g17_diff_aware", f"""WITH f AS (SELECT hash, list_sort(list(DISTINCT struct_pack(f := filename, a := coalesce(additions, 0), d := coalesce(deletions, 0))))[:10] AS l FROM (SELECT commit_hash AS hash, filename, additions, deletions FROM file_diffs WHERE filename IS NOT NULL) GROUP BY 1)
+    SELECT c.hash, concat_ws(' ', '<COMMIT>', left(c.hash, 8), '<AUTHOR>', coalesce(author_name, ''), CASE WHEN len(l) > 0 THEN array_to_string(list_transform(l, lambda x: CASE WHEN x.f LIKE '%.rs' THEN '<RS_FILE>' WHEN x.f LIKE '%.toml' THEN '<TOML_FILE>' WHEN x.f LIKE '%.proto' THEN '<PROTO_FILE>' ELSE '<FILE>' END || ' ' || string_split(x.f, '/')[-1] || ' <INSERTIONS> ' || x.a || ' <DELETIONS> ' || x.d), ' ') END,
+    '<MESSAGE>', coalesce(subject, '')) AS diff_aware FROM {_C} c LEFT JOIN f USING (hash)""")
 def _(s, d):
     from tessera.operators import history
 

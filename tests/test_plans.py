@@ -33,7 +33,7 @@ def test_reads_only_what_it_needs(spark, sf, name, columns):
     assert names <= set(columns.split(","))
 
 
-@pytest.mark.parametrize("name", ["agg_a2_t3_hotspots", "win_w2_by_lang", "sig_wf3_wf5_wf7", "flt_f7_binary"])
+@pytest.mark.parametrize("name", ["agg_a2_t3_hotspots", "win_w2_by_lang", "sig_wf3_wf4_wf5_wf7", "flt_f7_binary"])
 def test_filters_reach_the_scan(spark, sf, name):
     p = plan(spark, sf, name)
     assert re.search(r"PushedFilters: \[\w+", p) or "DataFilters: [" in p
