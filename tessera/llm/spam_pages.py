@@ -243,8 +243,9 @@ def describe(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     with np.errstate(over="ignore"):
         pairs = (th[both] * np.uint64(0xBF58476D1CE4E5B9) + th[np.minimum(both + 1, max(len(th) - 1, 0))]) * np.uint64(0x94D049BB133111EB) + of.astype(np.uint64) * np.uint64(_BASE)
     _, code, often = np.unique(pairs, return_inverse=True, return_counts=True)
-    # a pair counts as repeated if it stands three times or more and makes up a hundredth of the page's pairs
-    enough = np.maximum(3, np.bincount(of, minlength=len(texts)) / 100)
+    # a pair counts as repeated if it stands four times or more, in two pieces of five, and makes up a hundredth of the page's pairs:
+    # a phrase that is pushed everywhere, not the wording that some sentences share
+    enough = np.maximum(np.maximum(4, 0.4 * np.bincount(page[tokens > 1], minlength=len(texts))), np.bincount(of, minlength=len(texts)) / 100)
     repeated = np.bincount(tp[both[often[code] >= enough[of]]], minlength=m)
     n_pairs = np.bincount(tp[both], minlength=m)
 
@@ -378,10 +379,11 @@ def generated_page(r: random.Random) -> list[tuple[str, int]]:
     sentence, ident = lang.sentence, (lambda: r.choice([f"{w()}_{w()}", f"{w()}{w().capitalize()}", w()]))
 
     def prose(n: int) -> list[tuple[str, int]]:
-        if r.random() < 0.15 and not lang.east:  # one sentence again and again, with a word or number of its own each time
-            said = sentence().split(" ")
-            i = r.randrange(len(said))
-            return [(" ".join([*said[:i], r.choice([w(), str(n999())]), *said[i:]]), 0) for _ in range(r.randint(3, 12))]
+        if r.random() < 0.25 and not lang.east:  # a few sentences again and again, with other words in some places each time
+            kept = [sentence().split(" ") for _ in range(r.randint(1, 4))]
+            open_ = [r.sample(range(len(k)), min(len(k), r.randint(1, 3))) for k in kept]
+            said = [" ".join(r.choice([w(), w(), str(n999())]) if i in open_[j] else x for i, x in enumerate(kept[j])) for j in (r.randrange(len(kept)) for _ in range(r.randint(4, 14)))]
+            return [(x, 0) for x in (said if r.random() < 0.5 else [" ".join(said[i : i + 2]) for i in range(0, len(said), 2)])]
         return [(x, 0) for _ in range(-(-n // 3)) for x in lang.paragraph()]
 
     def structure(n: int) -> list[tuple[str, int]]:
@@ -398,13 +400,18 @@ def generated_page(r: random.Random) -> list[tuple[str, int]]:
             lambda: f"| {w()} {w()} | {n999()} | {w()} |", lambda: f"2024-05-{r.randint(10, 28)} {r.choice(['ERROR', 'INFO', 'WARN'])} {ident()}: {w()} {w()} {n999()}", lambda: f"- [{w()} {w()}]({url()}){r.choice([': ', ' - ', ' – '])}{sentence()}", lambda: f"- {r.choice(['Fix', 'Add', 'Remove', 'Update'])} {sentence()} ([#{n999()}]({url()}))", lambda: f"* {sentence()} ({'-'.join([w(), str(n999())])})",
             lambda: f"[{n999()}] {w().capitalize()}, {w()[0].upper()}. {sentence()} {url()}", lambda: f"{r.choice(['- ', '* ', ''])}{w().capitalize()} {w().capitalize()} <{w()}@{w()}.example>", lambda: f"{n999()},{w()},{r.random():.2f},{w()} {w()}", lambda: f"{r.choice(['- ', ''])}{n999()} {r.choice(['g', 'ml', 'cups', 'kg', 'tsp'])} {w()} {w()}", lambda: f"{w()}_{w()} ({r.choice(['string', 'int', 'bool'])}): {sentence()}",
         ]
+        if r.random() < 0.25:  # many lines of one kind, as imports, settings, calls or tests
+            one = r.choice(code[:13] + data[:6])
+            forms.append(one)
+            kind, n = len(forms) - 1, n * r.choice([1, 2, 4])
         sign = r.choice([None, None, None, "+ -"])
         return [((r.choice(sign) if sign else "") + forms[kind](), 1) for _ in range(n)]
 
     def links(n: int) -> list[tuple[str, int]]:
         kind = r.randrange(9)
+        label = r.choice([lambda: case(phrase()), lambda: case(phrase()), lambda: f"{w()}-{w()} {phrase()}", lambda: f"{w()} {w()} {phrase()}"])
         forms = [
-            lambda: url(), lambda: f"- [{case(phrase())}]({url()})", lambda: f"* [{case(phrase())}]({url()})", lambda: f"# {url()}  {ident()}", lambda: f'<li><a href="{url()}">{phrase()}</a></li>', lambda: r.choice([case(phrase()), f"{url()} {phrase()} {url()}"]), lambda: f"{case(phrase())}{r.choice([': ', ' - ', ' '])}{url()}", lambda: f'<a href="{url()}">{phrase()}</a> <a href="{url()}">{phrase()}</a>',
+            lambda: url(), lambda: f"{r.choice('-*')} [{label()}]({url()})", lambda: f"* [{label()}]({url()})", lambda: f"# {url()}  {ident()}", lambda: f'<li><a href="{url()}">{label()}</a></li>', lambda: r.choice([case(phrase()), f"{url()} {phrase()} {url()}"]), lambda: f"{label()}{r.choice([': ', ' - ', ' '])}{url()}", lambda: f'<a href="{url()}">{phrase()}</a> <a href="{url()}">{phrase()}</a>',
             lambda: f"{n9()}. {url()}",
         ]
         mark = r.choice(["", "", "", "> ", "// ", "+"])
@@ -414,16 +421,17 @@ def generated_page(r: random.Random) -> list[tuple[str, int]]:
         kind = r.randrange(8)
         sep = r.choice([", ", "; ", " | ", " · ", " ★ ", " / ", " - ", "、" if lang.east else ", ", ","])
         many = lambda k: sep.join(phrase() for _ in range(k))
-        mark = r.choice(["", "", "", "", "// ", "# ", "/// ", "* ", "<!-- ", "- ", "+"])
+        mark, bar = r.choice(["", "", "", "", "// ", "# ", "/// ", "* ", "<!-- ", "- ", "+"]), r.choice([" | ", " | ", " · ", " - "])
         forms = [
-            lambda: many(r.randint(4, 12)), lambda: " ".join(f"#{w().capitalize()}{w().capitalize()}" for _ in range(r.randint(4, 12))), lambda: " ".join(r.choice(pool) for _ in range(r.randint(8, 40))), lambda: f"{r.choice(['tags', 'keywords', 'topics', 'Tags', 'related'])}: {many(r.randint(5, 12))}", lambda: f"{case(phrase())} {r.choice(['v', ''])}{n9()}.{n9()} | {phrase()} | {w()} | {r.choice(['SKU-', 'No. ', '#'])}{n999()} | ${n999()}",
+            lambda: many(r.randint(4, 12)), lambda: " ".join(f"#{w().capitalize()}{w().capitalize()}" for _ in range(r.randint(4, 12))), lambda: " ".join(r.choice(pool) for _ in range(r.randint(8, 40))), lambda: f"{r.choice(['tags', 'keywords', 'topics', 'Tags', 'related'])}: {many(r.randint(5, 12))}", lambda: f"{case(r.choice([phrase(), w()]))} {r.choice(['v', ''])}{n9()}.{n9()}{bar}{phrase()}{bar}{r.choice([w(), phrase()])}{bar}{r.choice(['SKU-', 'No. ', '#', 'Art. '])}{n999()}{bar}{r.choice([f'${n999()}', f'-{n9()}5%', 'sale', 'new', 'in stock', f'{n9()},99 €'])}",
             lambda: many(r.randint(20, 80)), lambda: f"{r.choice(['keywords', 'description', 'content'])} = \"{many(r.randint(8, 20))}\"", lambda: f"{case(phrase())} - {r.choice(['$', '€', ''])}{n999()}.{n9()}9 - {phrase()}, {phrase()}, {phrase()}",
         ]
         return [(mark + forms[kind](), 3) for _ in range(n)]
 
     def menu(n: int) -> list[tuple[str, int]]:
         mark = r.choice(["", "", "", "- ", "* ", "> "])
-        return [(mark + case(phrase()), 4) for _ in range(n)]
+        most = r.choice([1, 2, 2, 3])
+        return [(mark + case(" ".join(phrase() for _ in range(r.randint(1, most)))), 4) for _ in range(n)]
 
     def stuffed(n: int) -> list[tuple[str, int]]:
         """Sentences around a few phrases repeated over and over."""
