@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import spread
 
-SAMPLE = 14_000
-EPOCHS = 4
+SAMPLE = 24_000
+EPOCHS = 2
 
 # Words that make a line worth labelling, prefixes of issued keys, and words features may name (fixed values).
 _GATE = re.compile(
@@ -289,14 +289,21 @@ class Field:
         return out[::-1]
 
     def train(self, data: list[tuple[list[list[str]], list[int]]], epochs: int, seed: int, rate: float = 0.4, ridge: float = 1e-5) -> None:
-        """Gradient ascent on the log-likelihood with per-weight step sizes."""
+        """Gradient ascent on the log-likelihood with per-weight step sizes; the result is the mean of the weights at several points of the last round."""
         rng = random.Random(seed)
         w, m = self.w, self.moves
         square: dict[str, float] = {}
         msq = [1e-6] * 4
-        for _ in range(epochs):
+        total: dict[str, float] = {}
+        total_m, points = [0.0] * 4, 0
+        every = max(1, len(data) // 16)
+        for epoch in range(epochs):
             rng.shuffle(data)
-            for feats, gold in data:
+            for at, (feats, gold) in enumerate(data, 1):
+                if epoch == epochs - 1 and at % every == 0:
+                    for x, v in w.items():
+                        total[x] = total.get(x, 0.0) + v
+                    total_m, points = [a + b for a, b in zip(total_m, m)], points + 1
                 s = self.scores(feats)
                 n = len(s)
                 e = [math.exp(x) for x in m]
@@ -336,6 +343,8 @@ class Field:
                     if grad[k]:
                         msq[k] += grad[k] * grad[k]
                         m[k] += 0.1 * grad[k] / math.sqrt(msq[k])
+        if points:
+            self.w, self.moves = {x: v / points for x, v in total.items()}, [a / points for a in total_m]
 
 
 # ---- generated training lines -------------------------------------------------------------------
@@ -413,7 +422,7 @@ def _name(r: random.Random, tail: str | None = None) -> str:
 def generated_line(r: random.Random) -> tuple[str, list[str]]:
     """(line, the literals in it that are credentials)."""
     k = r.random()
-    if k >= 0.60:
+    if k >= 0.54:
         return _special_line(r)
     good: list[str] = []
     if k < 0.40:
@@ -424,9 +433,9 @@ def generated_line(r: random.Random) -> tuple[str, list[str]]:
         good = [value]
         if k >= 0.26:
             value, good = _harmless(r, key), []
-    elif k < 0.48:
+    elif k < 0.45:
         key, value = r.choice(_NAMES), _kept(r)
-    elif k < 0.54:
+    elif k < 0.49:
         key, value = r.choice(_IDS), _hash(r)
     else:
         key, value = _name(r, r.choice([None, "token", "author", "tokenizer", "key", "passes", "passenger"])), r.choice([_kept(r), f"{_word(r)} {_word(r)} for {_word(r)}", _word(r), _name(r)])
@@ -459,13 +468,21 @@ def _said_line(r: random.Random) -> str:
     ])
 
 
+def _remark(r: random.Random) -> str:
+    """What a comment says before a credential."""
+    kind = r.choice(["", "", "the", "new", "previous", "current", "default", "admin", "root", "test", "temporary", "hardcoded", "dev", "db"])
+    what = r.choice(["password", "password", "pw", "key", "key", "token", "secret", "api key", "login", "creds", "credentials", "auth token", "access key"])
+    return r.choice([f"{kind} {what}{r.choice([' is', ' was', ':', ' =', '', ' set to', ' is now'])}", r.choice(["use", "try", "expects", "run with", "works with"]) + f" {what}", r.choice(["FIXME", "XXX", "HACK", "TODO", "FIXME:", "HACK:"]), "default login admin /"]).strip()
+
+
 def _code_line(r: random.Random) -> str:
     """A line of a program whose names speak of credentials, or not, without any value."""
     t = r.choice(["token", "key", "secret", "password", "auth", "tokenizer", "author", "passes", "credentials", "login"])
     n, c = (lambda tail=None: _name(r, tail)), (lambda: _name(r).capitalize())
     i = r.randint(1, 9999)
+    kind = r.choice(["u8", "u32", "u64", "i32", "f32", "f64", "usize", "bool", "&str", "&u64", "&f32", "&i32", "String", "&String", "Vec<u8>", "&[u8]", f"&{c()}", c(), f"Option<{c()}>", f"&mut {c()}", f"Result<{c()}>"])
     return r.choice([
-        f"pub fn {n(t)}(&self, {n()}: {c()}) -> Result<{c()}, Error> {{", f"async fn {n(t)}({n()}: Option<&str>) -> {c()} {{", f"let {n(t)} = self.{n()}.{n(t)}({i})?;", f"let mut {n(t)}: Vec<{c()}> = Vec::with_capacity({i});", f"{n(t)}.push({n()}.clone());", f"    pub {n(t)}: Option<{c()}>,", f"impl {c()} for {c()} {{",
+        f"pub fn {n(t)}(&self, {n()}: {c()}) -> Result<{c()}, Error> {{", f"async fn {n(t)}({n()}: Option<&str>) -> {c()} {{", f"{r.choice(['fn', 'async fn', 'pub fn', 'pub async fn'])} {n()}({n(t)}: {kind}) -> {r.choice([kind, c()])} {{", f"fn {n(t)}(mut {n(t)}: {kind}, {n(t)}: {kind}) {{", f"function {n()}({n(t)}: {r.choice(['string', 'number', c()])}): {c()} {{", f"def {n()}({n(t)}: {r.choice(['str', 'int', c()])}) -> {c()}:", f"let {n(t)} = self.{n()}.{n(t)}({i})?;", f"let mut {n(t)}: Vec<{c()}> = Vec::with_capacity({i});", f"{n(t)}.push({n()}.clone());", f"    pub {n(t)}: Option<{c()}>,", f"impl {c()} for {c()} {{",
         f"use crate::{n()}::{{{c()}, {c()}}};", f"def {n(t)}(self, {n()}, limit={i}):", f"from {n()}.{n(t)} import {c()}", f"self.{n(t)} = {n(t)}", f"return {{\"{n(t)}\": {n()}, \"{n()}\": {i}}}", f"{n(t)}[i] = {n()}.{n()}", f"if {n(t)} is None:", f"for {n(t)} in {n()}.{n()}:", f"assert {n(t)}({i}) == {n()}",
         f"raise ValueError(\"{n()} {t} of {n()}\")", f"logger.info(\"{t} of %s\", {n()})", f"const {n(t)} = async ({n()}) => {{", f"export function {n(t)}({n()}: {c()}): {c()} {{", f"const {{ {n(t)}, {n()} }} = this.props;", f"if (!{n(t)}) return null;", f"func ({n()[:1]} *{c()}) {n(t)}({n()} string) error {{", f"if {n(t)} != nil {{",
         f"public String get{c()}() {{ return {n(t)}; }}", f"private final {c()} {n(t)};", f"\"{n(t)}\": {i},", f"\"{n(t)}\": [\"{n()}\", \"{n()}\"],", f"  {n(t)}: {i}", f"  {n(t)}: true", f"{n(t)}:", f"- {n(t)}", f"SELECT {n(t)}, {n()} FROM {n()} WHERE {n(t)} = ?", f"ALTER TABLE {n()} ADD COLUMN {n(t)} text;", f"{n()} --{n(t).replace('_', '-')} \"${n(t).upper()}\"",
@@ -490,6 +507,7 @@ def _special_line(r: random.Random) -> tuple[str, list[str]]:
     host = lambda: f"{w()}.{r.choice(['example', 'internal', 'test', 'local', 'io'])}"
     mark = r.choice(["#", "//", "--", "/*", ";"])
     hook = _chars(r, every, 20, 32)
+    known = r.choice([r.choice(["AKIA", "ASIA"]) + _chars(r, _UP + _DI, 16, 16), r.choice(["ghp_", "gho_", "glpat-", "xoxb-", "sk_live_", "AIza"]) + _chars(r, every, 24, 36)])
     phrase = " ".join(w() if r.random() < 0.5 else r.choice(["correct", "horse", "battery", "purple", "river", "monkey", "silver", "garden", "winter", "coffee", "happy", "dragon"]) for _ in range(r.randint(3, 6)))
     env = r.choice(["DB_PASSWORD", "PASSWORD", "MYSQL_ROOT_PASSWORD", "PGPASSWORD", "REDIS_PASS", "SMTP_PASSWORD", f"{w().upper()}_PASSWORD"])
     weak = r.choice(["letmein", "welcome", "qwerty", "iloveyou", "sunshine", "dragon", "monkey", "football", w(), w() + w()])
@@ -499,11 +517,11 @@ def _special_line(r: random.Random) -> tuple[str, list[str]]:
         (f"{r.choice(['Authorization', 'Proxy-Authorization'])}: Basic {b64}", [b64]), (f'    "Authorization": "Bearer {jwt}",', [jwt]), (f'headers = {{"Authorization": "{r.choice(["Token", "Bearer", "token"])} {s}"}}', [s]), (f'-H "{r.choice(["X-Api-Key", "X-Auth-Token", "PRIVATE-TOKEN"])}: {s}"', [s]),
         (f'curl -H "Authorization: Bearer {jwt}" https://{host()}/v1/{w()}', [jwt]), (f'curl -u {w()}:{pw} https://{host()}/{w()}', None), (f'  "auths": {{ "{host()}": {{ "auth": "{b64}" }} }}', [b64]), (f"//{host()}/:_authToken={s}", [s]),
         (f"docker run -e {w().upper()}_USER={w()} -e {env}={pw} {w()}", [pw]), (f"{w()} login --user{r.choice(['name', ''])} {w()} --password {pw}", [pw]), (f"{w()} login -u {w()} -p {pw}", [pw]), (f"  password {pw}", [pw]), (f"machine {host()} login {w()} password {pw}", [pw]), (f"sshpass -p {pw} ssh {w()}@{host()}", [pw]), (f"mysql -u {w()} --password={pw} {w()}", [pw]), (f"requirepass {pw}", [pw]), (f"{w()} -h {host()} -U {w()} {r.choice(['-P', '-p', '-a', '-w'])} {(qq := r.choice(['', chr(39)]))}{pw}{qq} {r.choice(['', w()])}", [pw]), (f"{w()}-cli {r.choice(['-a', '-p', '--pass', '--auth'])} {pw} {w()}", [pw]),
-        (f"aws_secret_access_key{r.choice(['=', ' = '])}{(k40 := _chars(r, every + '+/', 40, 40))}", [k40]), (f"{mark} {r.choice(['password is', 'the password:', 'pw', 'default login admin /', 'token:', 'use token', 'temporary secret', 'creds:', 'hardcoded key', 'api key for testing:', 'FIXME', 'XXX', 'root pw is'])} {s if r.random() < 0.6 else pw}", None),
+        (f"aws_secret_access_key{r.choice(['=', ' = '])}{(k40 := _chars(r, every + '+/', 40, 40))}", [k40]), (f"{mark} {_remark(r)} {s if r.random() < 0.6 else pw}{r.choice(['', '', '', ',', '.', ' ' + w(), ', ' + w() + ' ' + w()])}", None), (f"{mark} {_remark(r)} {s if r.random() < 0.6 else pw}", None), (f"{mark} {w()} {w()}{r.choice([':', '', ','])} {known}", [known]), (f"{w()} {known} {w()}", [known]), (f'{w()}("{known}", {w()})', [known]),
         (f"{mark} {w()} {w()} {(strong := _chars(r, every + '#!$%', 10, 20) + _chars(r, _DI, 1, 2) + _chars(r, _AL + _UP, 1, 2))} {r.choice(['', w()])}", [strong]), (f'{r.choice(["signing_key", "cert_key", "key_pem", "private_key"])} = "{pem}"', [pem]), (f'  "private_key": "{pem}",', [pem]), (f"export {r.choice(['SIGNING_KEY', 'PRIVATE_KEY', 'DEPLOY_KEY'])}={pem}", [pem]), (f"-----BEGIN {kind}-----", [f"-----BEGIN {kind}-----"]),
         (f"https://hooks.{w()}.{r.choice(['com', 'example'])}/services/{_chars(r, _UP + _DI, 5, 10)}/{_chars(r, _UP + _DI, 5, 10)}/{hook}", [hook]), (f'{r.choice(["url", "webhook", "hook"])} = "https://{host()}/{r.choice(["webhooks", "api/webhooks", "hooks"])}/{r.randint(10**8, 10**11)}/{hook}"', [hook]), (f"POST https://api.{w()}.org/bot{(bot := _chars(r, _DI, 8, 10) + ':AA' + _chars(r, every + '-_', 33, 33))}/sendMessage", None),
         (f"https://{host()}/v1/{w()}?{r.choice(['api_key', 'apikey', 'key', 'token', 'access_token', 'auth'])}={s}&{w()}={r.randint(1, 99)}", None), (f"?{r.choice(['api_key', 'access_token', 'token', 'secret'])}={(q := _chars(r, every, 10, 32))}&{w()}={r.randint(1, 99)}", [q]), (f'{r.choice(["password", "passphrase", "PASSWORD", "wallet_passphrase", "DB_PASSWORD"])}{r.choice([" = ", ": ", "="])}"{phrase}"', [phrase]),
-        (f"{r.choice(['', 'export ', 'ENV ', '      - '])}{env}={weak}", [weak]), (f"<{(tag := r.choice(['password', 'secret', 'apiKey', 'token', 'passwd']))}>{pw}</{tag}>", [pw]), (f'INSERT INTO users ({w()}, password) VALUES (\'{w()}\', \'{pw}\');', [pw]), (f"CREATE USER {w()} IDENTIFIED BY '{pw}';", [pw]), (f"ALTER ROLE {w()} WITH PASSWORD '{pw}';", [pw]), (f'net.connect("{w()}", "{w()}", password="{pw}")', [pw]), (f'auth = ("{w()}", "{pw}")', [pw]), (f'send("{(iss := _issued(r))}")', None),
+        (f"{r.choice(['', 'export ', 'ENV ', '      - '])}{env}={weak}", [weak]), (f"<{(tag := r.choice(['password', 'secret', 'apiKey', 'token', 'passwd']))}>{pw}</{tag}>", [pw]), (f'INSERT INTO users ({w()}, password) VALUES (\'{w()}\', \'{pw}\');', [pw]), (f"CREATE USER {w()} IDENTIFIED BY '{pw}';", [pw]), (f"ALTER ROLE {w()} WITH PASSWORD '{pw}';", [pw]), (f'net.connect("{w()}", "{w()}", password="{pw}")', [pw]), (f'auth = ("{w()}", "{pw}")', [pw]), (f'send("{(iss := _chars(r, _AL, 2, 4) + _chars(r, _DI, 1, 2) + "." + _chars(r, every, 10, 40))}")', [iss]),
     ]
     no = [
         f"{scheme}://${{USER}}:${{PASS}}@{host()}:6379", f"{scheme}://{{user}}:{{password}}@{host()}", f"{scheme}://localhost/{w()}", f"{scheme}://{host()}:6379/{w()}", f"{scheme}://user:$PASSWORD@{host()}/{w()}", pub, f'cert = "{pub}\\n{body}\\n-----END {public}-----\\n"', f'checksum = "{_chars(r, "0123456789abcdef", 64, 64)}"',
@@ -518,7 +536,7 @@ def _special_line(r: random.Random) -> tuple[str, list[str]]:
     if k < 0.42:
         line, good = r.choice(yes)
         if good is None:
-            good = [x for x in (jwt, s, pw, iss, bot) if x in line]
+            good = [x for x in (jwt, s, pw, bot) if x in line]
             good = ["bot" + g if g == bot else f"{g}" for g in good]
             if f":{pw}" in line:
                 good = [next(t for t in re.split(r"\s", line) if t.endswith(f":{pw}"))]
