@@ -10,7 +10,7 @@ from tessera.functions.tokens import words
 from tessera.operators import history, sampling
 from tessera.plans import formulas, pipelines
 from tessera.queries.registry import query, table
-from tessera.queries.sequences import NEXT_FIT, next_fit
+from tessera.queries.sequences import NEXT_FIT, metric_series, next_fit, signal_sql
 from tessera.session import scratch
 from tessera.sources import readers, sinks
 from tessera.streaming import streams
@@ -296,6 +296,27 @@ def _(s, d):
     return s.read.parquet(path).groupBy("k").agg(F.count("*").alias("n_windows"), F.max("window_no").alias("last"))
 
 
+@query("str_follow_metrics", signal_sql("event_id, converged, reduce_lr, overfitting"))
+def _(s, d):
+    # the series arrives in three parts, one after another
+    e = metric_series(s, d)
+    source, path, state = scratch(s, "metrics-in"), scratch(s, "metrics-out"), scratch(s, "metrics-state")
+    cuts = e.approxQuantile("t", [1 / 3, 2 / 3], 0.01) if not e.isEmpty() else [0, 0]
+    for part in (F.col("t") < cuts[0], F.col("t").between(cuts[0], cuts[1]), F.col("t") > cuts[1]):
+        e.where(part).coalesce(1).write.mode("append").parquet(source)
+    live = s.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    streams.follow_metrics(live, path, state, ["user_id"], ["t", "event_id"], "train", "val").awaitTermination()
+    return s.read.parquet(path).select("event_id", "converged", "reduce_lr", "overfitting")
+
+
+@query("snk_stage_once", "SELECT count(*) AS n FROM examples")
+def _(s, d):
+    path = scratch(s, "stage")
+    sinks.write_if_missing(table(s, d, "examples").select("example_id"), path)
+    sinks.write_if_missing(table(s, d, "examples").limit(0).select("example_id"), path)
+    return s.read.parquet(path).agg(F.count("*").alias("n"))
+
+
 @query("pln_p51_lengths", "SELECT e::INTEGER AS epoch, round_even(256 + 1792 * (e / 9.0::DOUBLE), 0)::INTEGER AS max_length FROM range(10) t(e)")
 def _(s, d):
     e = s.range(10).select(F.col("id").cast("int").alias("epoch"))

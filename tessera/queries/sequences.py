@@ -288,10 +288,19 @@ def _series(s, d):
     return table(s, d, "events").where("value is not null").select("user_id", "event_id", "ts", F.col("value").alias("train"), (F.col("value") * (1 + (F.col("event_id") % 7) / F.lit(10.0))).alias("val"))
 
 
-@query("sig_wf3_wf4_wf5_wf7", f"""WITH e AS ({_EV}), w AS (SELECT *, row_number() OVER s AS n, lag(train, 4) OVER s AS t4, lag(val, 2) OVER s AS v2, lag(val, 4) OVER s AS v4, avg(train) OVER f AS a_t, avg(val) OVER f AS av, stddev_pop(val) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sd FROM e
+def signal_sql(columns: str) -> str:
+    return f"""WITH e AS ({_EV}), w AS (SELECT *, row_number() OVER s AS n, lag(train, 4) OVER s AS t4, lag(val, 2) OVER s AS v2, lag(val, 4) OVER s AS v4, avg(train) OVER f AS a_t, avg(val) OVER f AS av, stddev_pop(val) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sd FROM e
     WINDOW s AS (PARTITION BY user_id ORDER BY ts, event_id), f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
-    SELECT event_id, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AS converged, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AND abs(1 + (event_id % 5 - 2) / 16.0::DOUBLE - 1) < 0.1 AS advance_phase, CASE WHEN n < 3 THEN false ELSE (val - v2) / greatest(1e-6, v2) > 0.05 OR (n >= 10 AND sd < 0.001) END AS reduce_lr,
-    CASE WHEN n < 5 THEN false ELSE a_t < 0.5 * av AND (val - v4) / greatest(1e-6, v4) > 0.02 END AS overfitting FROM w""")
+    , s AS (SELECT event_id, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AS converged, CASE WHEN n < 5 THEN false ELSE (t4 - train) / greatest(1e-6, t4) < 0.01 END AND abs(1 + (event_id % 5 - 2) / 16.0::DOUBLE - 1) < 0.1 AS advance_phase, CASE WHEN n < 3 THEN false ELSE (val - v2) / greatest(1e-6, v2) > 0.05 OR (n >= 10 AND sd < 0.001) END AS reduce_lr,
+    CASE WHEN n < 5 THEN false ELSE a_t < 0.5 * av AND (val - v4) / greatest(1e-6, v4) > 0.02 END AS overfitting FROM w) SELECT {columns} FROM s"""
+
+
+def metric_series(s, d):
+    """The series with its times as numbers, for sources that hold no times without zone."""
+    return _series(s, d).withColumn("t", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts")
+
+
+@query("sig_wf3_wf4_wf5_wf7", signal_sql("event_id, converged, advance_phase, reduce_lr, overfitting"))
 def _(s, d):
     e = _series(s, d).withColumn("grad", 1 + (F.col("event_id") % 5 - 2) / F.lit(16.0))
     return signals.training_signals(e, ["user_id"], ["ts", "event_id"], "train", "val", "grad").select("event_id", "converged", "advance_phase", "reduce_lr", "overfitting")

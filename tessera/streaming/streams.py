@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -49,11 +50,22 @@ def token_windows(sequences: DataFrame, key: str, tokens: str, length: int, over
     return sequences.select(key, "pos", tokens).groupBy(key).applyInPandasWithState(step, f"{key} {kind}, window_no bigint, window array<int>", "rest array<int>, no bigint", "append", GroupStateTimeout.NoTimeout)
 
 
-def follow_metrics(metrics: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], train: str, val: str):
-    """A query that writes the signals of each micro-batch; signals look back within what the batch holds."""
+def follow_metrics(metrics: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], train: str, val: str, window: int = 20):
+    """A query that writes the signals of each micro-batch; the last ``window`` rows of each key written before go on counting, so
+    the signals are those of the whole series as long as micro-batches follow each other in ``order``.  A micro-batch that is
+    repeated after a loss replaces what it wrote."""
     from tessera.operators.signals import training_signals
 
-    def write(batch: DataFrame, _: int) -> None:
-        training_signals(batch, keys, order, train, val).write.mode("append").parquet(path)
+    given = metrics.columns
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("new_", F.lit(True))
+        if number:
+            last = W.partitionBy(*keys).orderBy(*(F.desc(c) for c in order))
+            before = spark.read.parquet(path).where(F.col("batch") < number).join(batch.select(*keys).distinct(), keys, "left_semi")
+            rows = rows.unionByName(before.withColumn("back_", F.row_number().over(last)).where(F.col("back_") <= window).select(*given, F.lit(False).alias("new_")))
+        out = training_signals(rows, keys, order, train, val).where("new_").drop("new_").withColumn("batch", F.lit(number))
+        out.write.partitionBy("batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     return metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -359,6 +359,22 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
 
 
+def test_tree_and_documents_as_written(spark, tmp_path):
+    df = spark.createDataFrame([("a/b/x.py", bytearray("é1".encode("latin-1"))), ("a/y.py", bytearray("漢字".encode())), ("node_modules/z.py", bytearray(b"no")), (".h/z.py", bytearray(b"no")), ("bin.py", bytearray(b"\0no")), ("z.rs", bytearray(b"no"))], "path string, content binary")
+    sinks.write_tree(df, str(tmp_path / "t"))
+    assert {(r["path"], r["text"]) for r in readers.read_tree(spark, str(tmp_path / "t"), ("py",)).collect()} == {("a/b/x.py", "é1"), ("a/y.py", "漢字")}
+    with pytest.raises(ValueError):
+        sinks.write_document(spark.range(sinks.SMALL_ROWS + 1), str(tmp_path / "d"))
+
+
+def test_encode_with_a_large_vocabulary(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "z"]), (1, ["b"]), (2, []), (3, None)], "k int, t array<string>")
+    vocab = spark.createDataFrame([("a", 7), ("b", 8)], "token string, id int")
+    for most in (10, 1):
+        got = sorted((r["k"], r["ids"]) for r in vocabulary.encode(df, "k", F.col("t"), vocab, 1, most).collect())
+        assert got == [(1, [7, 8, 1]), (1, [8]), (2, []), (3, [])]
+
+
 def test_config():
     got = readers.load_config("a: 1\nb:\n  c: true\n  d: [1, x]\ne:\n  - p\n  - 2\n", {"b": {"z": 3}})
     assert got == {"a": 1, "b": {"c": True, "d": [1, "x"], "z": 3}, "e": ["p", 2]}
