@@ -350,12 +350,15 @@ class Field:
 # ---- generated training lines -------------------------------------------------------------------
 
 
+_SYLLABLES = [a + b + c for a in "bcdfghklmnprstvw" for b in "aeiou" for c in ("", "", "n", "r", "l", "s")]
+
+
 def _word(r: random.Random) -> str:
-    return "".join(r.choice("bcdfghklmnprstvw") + r.choice("aeiou") + r.choice(["", "", "n", "r", "l", "s"]) for _ in range(r.randint(2, 3)))
+    return "".join(r.choices(_SYLLABLES, k=r.randint(2, 3)))
 
 
 def _chars(r: random.Random, alphabet: str, lo: int, hi: int) -> str:
-    return "".join(r.choice(alphabet) for _ in range(r.randint(lo, hi)))
+    return "".join(r.choices(alphabet, k=r.randint(lo, hi)))
 
 
 _AL, _UP, _DI = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
