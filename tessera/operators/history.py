@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,28 +55,82 @@ def with_parent(commits: DataFrame) -> DataFrame:
     return c.join(p, "parent_", "left").withColumn("time_since_parent", F.coalesce(F.col("commit_timestamp") - F.col("pt_"), F.lit(0))).drop("pt_").withColumnRenamed("parent_", "first_parent")
 
 
-def reachable(commits: DataFrame, tips: DataFrame, doublings: int = 5, max_rounds: int = 10_000) -> DataFrame:
+def reachable(commits: DataFrame, tips: DataFrame, block: int = 1 << 20, max_rounds: int = 10_000) -> DataFrame:
     """(tip, hash) of every commit reachable from a few given tips (column hash).
 
-    Edges to the next 2 ** doublings generations are made first, so a breadth-first round crosses as many of them.
+    Commits are numbered in time order, if they have one, and divided into blocks of so many commits and parents.
+    A round follows all paths within the blocks that were entered, one task per block and tip, and hands over
+    what leaves them. A history in order takes about a round per block, however long its paths are; other orders
+    take more rounds. Parents without a row are reached, a null among parents too, once per tip.
     """
-    from tessera.session import cut
-
-    hops = cut(commits.select(F.col("hash").alias("child"), F.explode("parents").alias("parent")).distinct())
-    for _ in range(doublings):
-        second = hops.select(F.col("child").alias("parent"), F.col("parent").alias("far"))
-        hops = cut(hops.unionAll(hops.join(second, "parent").select("child", F.col("far").alias("parent"))).distinct())
-    seen = cut(tips.select(F.col("hash").alias("tip"), F.col("hash")).distinct())
-    frontier = seen
+    from tessera.operators.windows import with_offsets
+    from tessera.session import cut, scratch
+
+    read, tips = commits.sparkSession.read, cut(tips.select("hash").distinct())
+    links = commits.where("hash is not null").select(F.col("hash").alias("child"), F.explode("parents").alias("parent")).distinct()
+    time = F.col("commit_timestamp") if "commit_timestamp" in commits.columns else F.lit(None).cast("bigint")
+    rows = commits.select("hash", time.alias("at"), F.greatest(F.size("parents"), F.lit(0)).alias("n"))
+    ends = links.select("parent").unionAll(tips).select(F.col("parent").alias("hash"), F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("n"))
+    each = rows.unionAll(ends).groupBy("hash").agg(F.max("at").alias("at"), (F.sum("n") + 1).alias("n"))
+    numbers = cut(with_offsets(each, ["at", "hash"], F.col("n"), "no").select("hash", "no"))
+    block_of = lambda no: F.floor(F.col(no) / block).alias("block")
+
+    edges_at, seen_at = scratch(commits.sparkSession, "edges"), scratch(commits.sparkSession, "seen")
+    from_, to = numbers.toDF("child", "a"), numbers.toDF("parent_", "b")
+    edges = links.join(from_, "child").join(to, F.col("parent").eqNullSafe(F.col("parent_"))).select("a", "b", block_of("a"))
+    edges.repartition("block").write.partitionBy("block").parquet(edges_at)
+    edges = read.schema("a bigint, b bigint, block bigint").parquet(edges_at)
+    start = cut(tips.toDF("name").join(numbers, F.col("name").eqNullSafe(F.col("hash"))).select("name", F.col("no").alias("tip")))
+    new = start.select(block_of("tip"), "tip", F.col("tip").alias("no"))
+    new.limit(0).write.partitionBy("block").parquet(seen_at)
+    seen = lambda: read.schema("tip bigint, no bigint, block bigint").parquet(seen_at)
+    none = F.lit(None).cast("bigint")
     for _ in range(max_rounds):
-        step = frontier.join(hops, frontier["hash"] == hops["child"]).select("tip", F.col("parent").alias("hash")).distinct()
-        frontier = cut(step.join(seen, ["tip", "hash"], "left_anti"))
-        if frontier.isEmpty():
+        blocks = [r["block"] for r in new.select("block").distinct().collect()]
+        if not blocks:
             break
-        seen = cut(seen.unionAll(frontier))
+        entered, here = F.broadcast(new.select("block", "tip").distinct()), F.col("block").isin(blocks)
+        given = new.select("block", "tip", none.alias("a"), F.col("no").alias("b"))
+        given = given.unionAll(seen().where(here).join(entered, ["block", "tip"]).select("block", "tip", F.col("no").alias("a"), none.alias("b")))
+        given = given.unionAll(edges.where(here).join(entered, "block").select("block", "tip", "a", "b"))
+        found = cut(given.groupBy("block", "tip").applyInArrow(_paths_within(block), "block bigint, tip bigint, no bigint, inside boolean"))
+        found.where("inside").drop("inside").repartition("block", "tip").write.mode("append").partitionBy("block").parquet(seen_at)
+        new = found.where("not inside").select("block", "tip", "no").distinct()
     else:
-        raise RuntimeError(f"the history is longer than {max_rounds} rounds")
-    return seen
+        raise RuntimeError(f"the history takes more than {max_rounds} rounds")
+    return seen().join(numbers, "no").join(F.broadcast(start), "tip").select(F.col("name").alias("tip"), "hash")
+
+
+def _paths_within(block: int):
+    """Of one block and tip, rows (a, b): edges, entries (null, b) and what was seen before (a, null)."""
+
+    def walk(key, rows):
+        here, tip = (k.as_py() for k in key)
+        low = here * block
+        a, b = (pc.fill_null(rows[c], -1).to_numpy() for c in "ab")
+        edge = (a >= 0) & (b >= 0)
+        child, parent = a[edge] - low, b[edge]
+        by = np.argsort(child, kind="stable")
+        first, parent = np.searchsorted(child[by], np.arange(block + 1)).tolist(), parent[by].tolist()
+        known = np.zeros(block, bool)
+        known[a[b < 0] - low] = True
+        known, inside, outside = bytearray(known.tobytes()), [], set()
+        todo = [i for i in dict.fromkeys((b[a < 0] - low).tolist()) if not known[i]]
+        for i in todo:
+            known[i] = 1
+        while todo:
+            i = todo.pop()
+            inside.append(i + low)
+            for p in parent[first[i] : first[i + 1]]:
+                if not 0 <= p - low < block:
+                    outside.add(p)
+                elif not known[p - low]:
+                    known[p - low] = 1
+                    todo.append(p - low)
+        no = np.array([*inside, *outside], np.int64)
+        return pa.table({"block": no // block, "tip": np.full(len(no), tip, np.int64), "no": no, "inside": np.arange(len(no)) < len(inside)})
+
+    return walk
 
 
 def numbered(commits: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:

@@ -181,6 +181,37 @@ def test_reachable_gives_up_aloud(spark):
         history.reachable(chain, tips, 1, 2)
 
 
+def test_reachable_crosses_long_paths_in_few_rounds(spark):
+    chain = spark.range(5000).select(F.col("id").cast("string").alias("hash"), F.array((F.col("id") + 1).cast("string")).alias("parents"))
+    assert history.reachable(chain, chain.where("hash in ('0', '4000')").select("hash"), max_rounds=3).groupBy("tip").count().orderBy("tip").collect() == [("0", 5001), ("4000", 1001)]
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_reachable_over_blocks(spark, ordered):
+    rng = random.Random(5)
+    rows = [(str(i), [str(rng.randrange(i + 1, min(i + 6, 130))) for _ in range(rng.choice((0, 1, 1, 1, 2, 3)))], 1000 - i if ordered else rng.choice((None, 1, 2))) for i in range(120)]
+    # seen twice with other parents, a null among parents on several paths, a cycle, no parents, no hash
+    rows += [("0", ["3", "40"], 7), ("3", [None, "5"], 990), ("40", ["41", None], 960), ("41", ["40"], 959), ("119", None, 1), (None, ["7"], 3)]
+    parents = {}
+    for h, p, _ in rows:
+        parents.setdefault(h, set()).update(p or [])
+    parents[None] = set()
+    want = Counter()
+    for tip in ("0", "60", "unknown", None):
+        seen, todo = {tip}, [tip]
+        while todo:
+            new = parents.get(todo.pop(), set()) - seen
+            seen |= new
+            todo += new
+        want.update((tip, h) for h in seen)
+    commits = spark.createDataFrame(rows, "hash string, parents array<string>, commit_timestamp bigint")
+    tips = spark.createDataFrame([("0",), ("60",), ("unknown",), (None,), ("0",)], "hash string")
+    for block in (100, 1 << 20):
+        assert Counter(tuple(r) for r in history.reachable(commits, tips, block).collect()) == want
+    assert history.reachable(commits, tips.limit(0)).count() == 0
+    assert history.reachable(commits.limit(0), tips).count() == 4
+
+
 @pytest.mark.parametrize("length,overlap", [(4, 1), (7, 3), (5, 0), (100, 10)])
 def test_stream_windows(spark, length, overlap):
     rng = random.Random(length)
